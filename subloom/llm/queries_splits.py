@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subloom.llm.groups import grouped_splits, related, related_pairs
 from subloom.llm.leaks import cross_split_pairs
 from subloom.session import read_table
 
+SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 TEXTS = ["context_before", "text", "context_after"]
 
 
@@ -30,5 +32,17 @@ def p5_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_record.groupBy("split", "source").agg(F.sum("n").alias("n_pairs"), F.sum("same").alias("n_exact"), F.count(F.lit(1)).alias("n_records"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_overlaps": p5_overlaps}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of movie_ids that must stay together."""
+    t = read_table(spark, sf_dir, "split_records")
+    return related_pairs(related(t, "movie_id", "text")).select(F.col("a").alias("movie_id_a"), F.col("b").alias("movie_id_b"))
+
+
+def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new split of every record: 80, 10 and 10 percent of the rows, related movies together."""
+    t = read_table(spark, sf_dir, "split_records").select("record_id", "movie_id", "text")
+    return grouped_splits(t, "record_id", "movie_id", "text", SHARES)
+
+
+QUERIES = {"p5_found": p5_found, "p5_overlaps": p5_overlaps, "p6_found": p6_found, "p6_splits": p6_splits}
 SQL: dict[str, str] = {}
