@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["queries_splits", "queries_dedupe", "queries_tokens"]
+MODULES = ["queries_text", "queries_splits", "queries_dedupe", "queries_tokens"]
 
 
 def _each(attribute: str) -> dict:
