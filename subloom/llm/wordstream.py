@@ -29,6 +29,16 @@ class WordHashes(dict):
         return h
 
 
+class CleanWords(dict):
+    """Clean form of each raw word. Emptied when too large."""
+
+    def __missing__(self, raw: str) -> str:
+        if len(self) >= MEMO:
+            self.clear()
+        word = self[raw] = clean(raw)
+        return word
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
