@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +24,29 @@ def local_session(app: str = "subloom", cores: str = "*", shuffle_partitions: in
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return ship(spark)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Gives this package to the Python workers, once an application, wherever the driver has it from."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        root = Path(__file__).resolve().parent
+        if root.is_dir():  # else the driver itself runs from such an archive
+            target = Path(tempfile.mkdtemp(prefix="subloom-code-")) / "subloom.zip"
+            with zipfile.ZipFile(target, "w") as z:
+                for p in sorted(root.rglob("*.py")):
+                    z.write(p, p.relative_to(root.parent))
+            context.addPyFile(str(target))
     return spark
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
