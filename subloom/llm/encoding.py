@@ -148,6 +148,12 @@ class Repairer:
                 yield "unescape", html.unescape(re.sub(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})", lambda m: chr(int(m[1] or m[2], 16)), word))
         if word.isascii():
             return
+        if "\0" in word or any(ord(c) > 0x7FF for c in word):
+            for a, b in (("utf-16-le", "utf-16-be"), ("latin-1", "utf-16-le"), ("latin-1", "utf-16-be")):
+                try:
+                    yield f"{a}>{b}", word.encode(a).decode(b)
+                except (UnicodeEncodeError, UnicodeDecodeError):
+                    continue
         for e, table in to_byte.items():
             b = word.translate(table) if e != "latin-1" else word
             if _UTF8.search(b):
@@ -165,13 +171,6 @@ class Repairer:
             other = word.translate(table)
             if other != word:
                 yield name, other
-        if "\0" in word or any(ord(c) > 0x7FF for c in word):
-            for a, b in (("utf-16-le", "utf-16-be"), ("latin-1", "utf-16-le"), ("latin-1", "utf-16-be")):
-                try:
-                    yield f"{a}>{b}", word.encode(a).decode(b)
-                except (UnicodeEncodeError, UnicodeDecodeError):
-                    continue
-
     def search(self, word: str) -> tuple[str, float, str]:
         """The cheapest form within reach, its cost and the way to it."""
         start = self.cost(word)
@@ -179,8 +178,6 @@ class Repairer:
         heap, seen, n = [(start, *best)], {word}, 0
         while heap and n < MOST_FORMS:
             _, price, spent, form, way = heapq.heappop(heap)
-            if best[3] and best[0] - best[1] <= 0.4 + 0.03 * len(best[2]):
-                break  # as plausible as sound text
             if way.count(" ") + 1 >= MOST_STEPS and way:
                 continue
             for name, other in self._next(form):
@@ -193,6 +190,8 @@ class Repairer:
                 found = (c, paid, other, f"{way} {name}".strip())
                 if c < best[0]:
                     best = found
+                    if c - paid <= 0.4 + 0.03 * len(other):
+                        return other, c, found[3]  # as plausible as sound text
                 # Bytes that happen to be UTF-8 are rare: such a form is looked at early, dear as it may be itself.
                 lead = 1.5 * (len(form) - len(other)) if name.endswith(">utf-8") else 0.0
                 heapq.heappush(heap, (c - lead, *found))
@@ -211,6 +210,8 @@ class Repairer:
         own = self.cost(word)
         if own < SUSPECT:
             return word, False, ""
+        if word.replace("\ufffd", "").isascii():
+            return word, True, ""  # nothing is left to restore it from
         best, price, way = self.search(word)
         if way and own - price >= GAIN and price <= 0.55 * own and price <= 0.5 * len(best) + 2:
             return best, True, way

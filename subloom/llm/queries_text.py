@@ -2,12 +2,60 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subloom.llm.encoding import repaired
+from subloom.llm.encoding import letter_pairs, repaired
+from subloom.llm.language import MIN_EVENTS, MIN_WORDS, document_stretches, event_languages, file_runs, fit, label_column, labels
 from subloom.session import read_table
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents and files with what their labels stand for."""
+    known = labels(read_table(spark, sf_dir, "language_codes"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", label_column("lang", known).alias("label"))
+    files = read_table(spark, sf_dir, "subtitle_files").select(F.col("file_id").cast("long"), label_column("language", known).alias("label"))
+    return docs, files
+
+
+def _prototypes(spark: SparkSession, sf_dir: str) -> np.ndarray:
+    docs, files = _labelled(spark, sf_dir)
+    events = read_table(spark, sf_dir, "file_events").filter("kind = 'Dialogue'").select(F.col("file_id").cast("long"), "text")
+    return fit(docs, "text", "label", events.join(files, "file_id"))
+
+
+def _files(spark: SparkSession, sf_dir: str, prototypes: np.ndarray) -> DataFrame:
+    """Runs of consecutive events in a language, of every file."""
+    events = read_table(spark, sf_dir, "file_events")
+    return file_runs(event_languages(events, prototypes, letter_pairs(events, "text")))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages that a file or document is in but that its label doesn't stand for."""
+    prototypes = _prototypes(spark, sf_dir)
+    docs, files = _labelled(spark, sf_dir)
+    runs = document_stretches(docs, "doc_id", "text", prototypes)
+    in_docs = runs.filter(F.col("n_words") >= MIN_WORDS).select(F.col("doc_id").alias("record_id"), "language").distinct()
+    in_files = _files(spark, sf_dir, prototypes).filter(F.col("longest") >= MIN_EVENTS).select(F.col("file_id").alias("record_id"), "language")
+    out = []
+    for kind, found, labelled in (("document", in_docs, docs.select(F.col("doc_id").alias("record_id"), "label")), ("file", in_files, files.withColumnRenamed("file_id", "record_id"))):
+        other = found.join(labelled, "record_id").filter(~F.col("language").eqNullSafe(F.col("label")))
+        out.append(other.select(F.lit(kind).alias("record_kind"), "record_id", "language"))
+    return out[0].union(out[1]).distinct()
+
+
+def p1_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of every document in one language, with its confidence; a document of one language has one row."""
+    return document_stretches(_labelled(spark, sf_dir)[0], "doc_id", "text", _prototypes(spark, sf_dir))
+
+
+def p1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language of every file with its share of the events as confidence."""
+    out = _files(spark, sf_dir, _prototypes(spark, sf_dir))
+    return out.select("file_id", "language", "longest", "events", (F.col("events") / F.col("of_events")).alias("confidence"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events whose text holds characters that come from decoding with a wrong encoding."""
     return repaired(read_table(spark, sf_dir, "file_events"), "event_id", "text").select("event_id")
@@ -18,5 +66,5 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(read_table(spark, sf_dir, "file_events"), "event_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored}
+QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored}
 SQL: dict[str, str] = {}
