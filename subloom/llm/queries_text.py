@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from subloom.llm.encoding import letter_pairs, repaired
 from subloom.llm.language import MIN_EVENTS, MIN_WORDS, document_stretches, event_languages, file_runs, fit, label_column, labels
+from subloom.llm.turns import turns
 from subloom.session import read_table
 
 
@@ -66,5 +67,15 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(read_table(spark, sf_dir, "file_events"), "event_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored}
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each turn: the event_index of the line in which it starts, and the speaker."""
+    return p3_turns(spark, sf_dir).select("movie_id", "event_index", "cast_id").distinct()
+
+
+def p3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean turns in order of time, each with its member of the cast."""
+    return turns(read_table(spark, sf_dir, "transcripts"), read_table(spark, sf_dir, "cast_members"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_turns": p3_turns}
 SQL: dict[str, str] = {}
