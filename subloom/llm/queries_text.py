@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from subloom.llm.encoding import letter_pairs, repaired
 from subloom.llm.language import MIN_EVENTS, MIN_WORDS, document_stretches, event_languages, file_runs, fit, label_column, labels
+from subloom.llm.reading import reading_levels
 from subloom.llm.turns import turns
 from subloom.session import read_table
 
@@ -77,5 +78,30 @@ def p3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(read_table(spark, sf_dir, "transcripts"), read_table(spark, sf_dir, "cast_members"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_turns": p3_turns}
+def _english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are in English and, by stretches of MIN_WORDS words, in no other language."""
+    docs = _labelled(spark, sf_dir)[0]
+    runs = document_stretches(docs, "doc_id", "text", fit(docs, "text", "label")).filter(F.col("n_words") >= MIN_WORDS)
+    told = runs.groupBy("doc_id").agg(F.min("language").alias("first"), F.max("language").alias("last")).filter("first = 'en' AND last = 'en'")
+    return docs.join(told.select("doc_id"), "doc_id", "left_semi")
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading level and band of each English document of at least 40 words."""
+    return reading_levels(_english(spark, sf_dir), "doc_id", "text", read_table(spark, sf_dir, "reading_labels"), min_words=40)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reading band of each document of at least 40 words that is in English and no other language."""
+    return p10_levels(spark, sf_dir).select("doc_id", "reading_band").distinct()
+
+
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, words and mean level of each source and band: the corpus by how demanding its text is."""
+    sources = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    out = p10_levels(spark, sf_dir).join(sources, "doc_id").groupBy("source", "reading_band")
+    return out.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_words").alias("n_words"), F.avg("level").alias("mean_level"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_turns": p3_turns, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 SQL: dict[str, str] = {}
