@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from subloom.llm.encoding import letter_pairs, repaired
 from subloom.llm.language import MIN_EVENTS, MIN_WORDS, document_stretches, event_languages, file_runs, fit, label_column, labels
 from subloom.llm.reading import reading_levels
-from subloom.llm.turns import turns
+from subloom.llm.turns import turn_starts, turns
 from subloom.session import read_table
 
 
@@ -70,7 +70,7 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each turn: the event_index of the line in which it starts, and the speaker."""
-    return p3_turns(spark, sf_dir).select("movie_id", "event_index", "cast_id").distinct()
+    return turn_starts(read_table(spark, sf_dir, "transcripts"), read_table(spark, sf_dir, "cast_members")).distinct()
 
 
 def p3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

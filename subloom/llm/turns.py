@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subloom.session import stored
+
 #: Styles of signs, songs, titles, captions and credits (fixed values).
 NO_SPEECH = r"(?iu)(?:^|[^a-z])(?:signs?|op|ed|opening|ending|karaoke|titles?|credits?|songs?|lyrics?|typeset(?:ting)?|ts|notes?|caption|logo)(?:$|[^a-z])"
 #: Forms of address before a name, and marks after one (fixed values).
@@ -22,7 +24,7 @@ _NOTE = r"\([^()\n]*\)|\[[^\[\]\n]*\]|\{[^{}\n]*\}|<[^<>\n]*>|\*[^*\n]*\*"
 _STAMP = r"(?<![\d:])\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?(?![\d:])"
 _MUSIC = "[♪♫♬♩]"
 #: A part begins on a new line, after " >> ", or after a dash or stroke before something like a label.
-_PARTS = r"\r?\n|\s+>>\s*|\s+[-–—/|]\s+(?=[\p{L}][^:\n.!?]{0,40}(?:\.[^:\n.!?]{1,30})?:\s)|\s+[-–—/|]\s+(?=[\(\[]\p{Lu}[^\)\]\n]{1,40}[\)\]]\s)"
+_PARTS = r"\r?\n|\s+>>\s*|\s+[-–—/|]\s+(?=[\p{L}][^:\n.!?]{0,40}(?:\.[^:\n.!?]{0,30})?:\s)|\s+[-–—/|]\s+(?=[\(\[]\p{Lu}[^\)\]\n]{1,40}[\)\]]\s)"
 _LABEL = r"^([\p{L}][^:\n!?]{0,45}?)\s*:(?:\s|$)"
 _BRACKET = r"^[\(\[]([^\)\]\n]{1,45})[\)\]]\s*:?"
 STRETCH_S = 600
@@ -58,16 +60,17 @@ def _drops(key: Column) -> Column:
 
 def resolve(labels: DataFrame, cast: DataFrame) -> DataFrame:
     """movie_id, key, cast_id for the labels (movie_id, key) that stand for one cast member, misspelt ones included."""
-    aliases = _aliases(cast)
-    labels = labels.dropna().distinct()
+    aliases = stored(_aliases(cast))
+    labels = stored(labels.dropna().distinct())
     exact = labels.join(aliases, ["movie_id", "key"])
     rest = labels.join(aliases, ["movie_id", "key"], "left_anti").filter(F.length("key").between(5, 60))
     left = rest.select("movie_id", "key", F.explode(F.array_distinct(_drops(F.col("key")))).alias("k"))
     right = aliases.filter(F.length("key").between(5, 60)).select("movie_id", F.col("key").alias("alias"), "cast_id", F.explode(F.array_distinct(_drops(F.col("key")))).alias("k"))
     d = F.levenshtein("key", "alias", 2)
     near = left.join(right, ["movie_id", "k"]).withColumn("d", d).filter("d BETWEEN 0 AND 2")
-    best = near.groupBy("movie_id", "key").agg(F.min("d").alias("d"))
-    fuzzy = near.join(best, ["movie_id", "key", "d"]).groupBy("movie_id", "key").agg(F.min("cast_id").alias("cast_id"), F.max("cast_id").alias("_top")).filter("cast_id = _top").drop("_top")
+    levels = near.groupBy("movie_id", "key", "d").agg(F.min("cast_id").alias("low"), F.max("cast_id").alias("top"))
+    best = levels.groupBy("movie_id", "key").agg(F.min(F.struct("d", "low", "top")).alias("b"))
+    fuzzy = best.filter("b.low = b.top").select("movie_id", "key", F.col("b.low").alias("cast_id"))
     return exact.select("movie_id", "key", "cast_id").unionByName(fuzzy)
 
 
@@ -102,8 +105,9 @@ def speech_parts(lines: DataFrame, cast: DataFrame) -> DataFrame:
     parts = parts.withColumn("in_bracket", F.regexp_extract("raw", _BRACKET, 1)).withColumn("after", F.regexp_replace("raw", r"^(?:(?:" + _NOTE + r")\s*)+", ""))
     parts = parts.withColumn("label", F.regexp_extract("after", _LABEL, 1))
     parts = parts.withColumns({"k_bracket": name_key(F.nullif(F.col("in_bracket"), F.lit(""))), "k_label": name_key(F.nullif(F.col("label"), F.lit(""))), "k_column": F.when(F.col("part") == 0, name_key(F.col("speaker")))})
+    parts = stored(parts)
     keys = parts.select("movie_id", F.explode(F.array("k_bracket", "k_label", "k_column")).alias("key"))
-    known = resolve(keys, cast)
+    known = stored(resolve(keys, cast))
     for k in ("bracket", "label", "column"):
         parts = parts.join(known.select("movie_id", F.col("key").alias(f"k_{k}"), F.col("cast_id").alias(f"c_{k}")), ["movie_id", f"k_{k}"], "left")
     body = F.when(F.col("c_bracket").isNotNull(), F.regexp_replace("raw", _BRACKET, "")).when(F.col("c_label").isNotNull(), F.regexp_replace("after", _LABEL, "")).otherwise(F.col("raw"))
@@ -111,32 +115,47 @@ def speech_parts(lines: DataFrame, cast: DataFrame) -> DataFrame:
     return parts.select("movie_id", "start", "event_index", "part", "speech", F.coalesce("c_bracket", "c_label", "c_column").alias("cast_id"))
 
 
-def turns(lines: DataFrame, cast: DataFrame) -> DataFrame:
-    """movie_id, event_index, cast_id, start, n_parts, text of each turn.
+def spoken_parts(lines: DataFrame, cast: DataFrame) -> DataFrame:
+    """The parts that hold speech with `who` speaks, carried forward, and whether the part `opens` a turn.
 
-    event_index and start are those of the line in which the turn starts; a turn that goes on into later stretches of
-    STRETCH_S seconds is put together again. Lines go by start, ties by
-    event_index, a null start first. Parts before the first name of a movie have no speaker and make no turn. An empty
-    table gives an empty one; further columns are dropped.
+    Lines go by start, ties by event_index, a null start first. Parts before the first name of a movie are left out.
     """
-    parts = speech_parts(lines, cast).withColumn("stretch", F.floor(F.coalesce("start", F.lit(-1.0)) / STRETCH_S).cast("long"))
     at = F.struct(F.coalesce("start", F.lit(-1.0)).alias("s"), "event_index", "part")
-    parts = parts.withColumn("at", at)
+    parts = speech_parts(lines, cast).withColumn("stretch", F.floor(F.coalesce("start", F.lit(-1.0)) / STRETCH_S).cast("long"))
+    parts = stored(parts.withColumn("at", at))
     inside = Window.partitionBy("movie_id", "stretch").orderBy("at")
-    last = parts.filter("cast_id IS NOT NULL").groupBy("movie_id", "stretch").agg(F.max_by("cast_id", "at").alias("_last"))
-    all_stretches = parts.select("movie_id", "stretch").distinct().join(last, ["movie_id", "stretch"], "left")
+    ends = parts.groupBy("movie_id", "stretch").agg(F.max_by("cast_id", F.when(F.col("cast_id").isNotNull(), F.col("at"))).alias("last"))
     before = Window.partitionBy("movie_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    carried = all_stretches.select("movie_id", "stretch", F.last("_last", ignorenulls=True).over(before).alias("carried"))
+    carried = ends.select("movie_id", "stretch", F.last("last", ignorenulls=True).over(before).alias("carried"))
     rows = parts.join(carried, ["movie_id", "stretch"])
     rows = rows.withColumn("who", F.coalesce(F.last("cast_id", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "carried"))
     rows = rows.withColumn("prior", F.coalesce(F.lag("who").over(inside), "carried")).filter("who IS NOT NULL")
-    rows = rows.withColumn("opens", ~F.col("who").eqNullSafe(F.col("prior")))
+    return rows.select("movie_id", "stretch", "at", "speech", "who", (~F.col("who").eqNullSafe(F.col("prior"))).alias("opens"))
+
+
+def turn_starts(lines: DataFrame, cast: DataFrame) -> DataFrame:
+    """movie_id, event_index, cast_id of each turn: the line in which it starts and who speaks.
+
+    An empty table gives an empty one; further columns are dropped.
+    """
+    rows = spoken_parts(lines, cast).filter("opens")
+    return rows.select("movie_id", F.col("at.event_index").cast("int").alias("event_index"), F.col("who").alias("cast_id"))
+
+
+def turns(lines: DataFrame, cast: DataFrame) -> DataFrame:
+    """movie_id, event_index, cast_id, start, n_parts, text of each turn.
+
+    event_index and start are those of the line in which the turn starts; a turn that goes on into later stretches of
+    STRETCH_S seconds is put together again. An empty table gives an empty one; further columns are dropped.
+    """
+    rows = stored(spoken_parts(lines, cast))
+    inside = Window.partitionBy("movie_id", "stretch").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("movie_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     # Islands: the start of a part's turn is the last opening at or before it, in its stretch or carried from earlier ones.
-    opened = rows.filter("opens").groupBy("movie_id", "stretch").agg(F.max("at").alias("_open"))
-    stretch_open = rows.select("movie_id", "stretch").distinct().join(opened, ["movie_id", "stretch"], "left")
-    carried_open = stretch_open.select("movie_id", "stretch", F.last("_open", ignorenulls=True).over(before).alias("_from"))
-    rows = rows.join(carried_open, ["movie_id", "stretch"])
-    rows = rows.withColumn("turn_at", F.coalesce(F.last(F.when(F.col("opens"), F.col("at")), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_from"))
+    opened = rows.groupBy("movie_id", "stretch").agg(F.max(F.when(F.col("opens"), F.col("at"))).alias("open"))
+    carried = opened.select("movie_id", "stretch", F.last("open", ignorenulls=True).over(before).alias("from"))
+    rows = rows.join(carried, ["movie_id", "stretch"])
+    rows = rows.withColumn("turn", F.coalesce(F.last(F.when(F.col("opens"), F.col("at")), ignorenulls=True).over(inside), "from"))
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "speech"))), lambda x: x["speech"]), " ")
-    out = rows.groupBy("movie_id", "turn_at", F.col("who").alias("cast_id")).agg(F.count(F.lit(1)).alias("n_parts"), said.alias("text"))
-    return out.select("movie_id", F.col("turn_at.event_index").cast("int").alias("event_index"), "cast_id", F.when(F.col("turn_at.s") >= 0, F.col("turn_at.s")).alias("start"), "n_parts", "text")
+    out = rows.groupBy("movie_id", "turn", F.col("who").alias("cast_id")).agg(F.count(F.lit(1)).alias("n_parts"), said.alias("text"))
+    return out.select("movie_id", F.col("turn.event_index").cast("int").alias("event_index"), "cast_id", F.when(F.col("turn.s") >= 0, F.col("turn.s")).alias("start"), "n_parts", "text")
