@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subloom.llm.encoding import Repairer
@@ -293,43 +293,41 @@ def event_languages(events: DataFrame, prototypes: np.ndarray, pairs: np.ndarray
     return told.groupBy("file_id", "index").agg(F.min("code").alias("code"))
 
 
-def _run_summary(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    """For each language the runs at the start and end of a bucket, its longest run and its number of events."""
-    masks = part.sort_values("index")["code"].to_numpy() % 64
-    out = []
-    for k in range(len(LANGUAGES)):
-        on = np.concatenate([[False], masks >> k & 1 == 1, [False]])
-        edges = np.flatnonzero(on[1:] != on[:-1])
-        runs = edges[1::2] - edges[::2]
-        if len(runs):
-            n = len(masks)
-            out.append((*key, k, n, int(runs[0]) if edges[0] == 0 else 0, int(runs[-1]) if edges[-1] == n else 0, int(runs.max()), int(runs.sum())))
-    return pd.DataFrame(out, columns=["file_id", "bucket", "lang", "n", "head", "tail", "longest", "events"])
-
-
-def _run_total(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-    """Longest run of a file and language over its buckets in order."""
-    longest = tail = last = 0
-    for r in parts.sort_values("place").itertuples():
-        if r.place != last + 1:
-            tail = 0  # a bucket without the language lies between
-        longest = max(longest, r.longest, tail + r.head)
-        tail = tail + r.n if r.head == r.n else r.tail
-        last = r.place
-    return pd.DataFrame([(*key, longest, int(parts["events"].sum()))], columns=["file_id", "lang", "longest", "events"])
+def _bucket_runs(masks: Column, k: int) -> Column:
+    """struct(n, head, tail, longest, events) of one language in a bucket's masks in order: its runs at both ends, the
+    longest, and its number of events."""
+    zero = F.struct(*[F.lit(v).alias(c) for c, v in (("run", 0), ("longest", 0), ("head", -1), ("events", 0))])
+
+    def step(acc: Column, m: Column) -> Column:
+        on = F.shiftright(m, k).bitwiseAND(1).cast("int")
+        run = F.when(on == 1, acc["run"] + 1).otherwise(0)
+        head = F.when((acc["head"] < 0) & (on == 0), acc["run"]).otherwise(acc["head"])
+        return F.struct(run.alias("run"), F.greatest(acc["longest"], run).alias("longest"), head.alias("head"), (acc["events"] + on).alias("events"))
+
+    n = F.size(masks)
+    return F.aggregate(masks, zero, step, lambda a: F.struct(n.alias("n"), F.when(a["head"] < 0, n).otherwise(a["head"]).alias("head"), a["run"].alias("tail"), a["longest"].alias("longest"), a["events"].alias("events")))
+
+
+def _longest(buckets: Column) -> Column:
+    """Longest run of a language over the buckets of a file in order."""
+    zero = F.struct(F.lit(0).alias("tail"), F.lit(0).alias("longest"))
+
+    def step(acc: Column, b: Column) -> Column:
+        through = acc["tail"] + b["head"]
+        return F.struct(F.when(b["head"] == b["n"], through).otherwise(b["tail"]).alias("tail"), F.greatest(acc["longest"], b["longest"], through).alias("longest"))
+
+    return F.aggregate(buckets, zero, step, lambda a: a["longest"])
 
 
 def file_runs(told: DataFrame) -> DataFrame:
     """file_id, language, longest (most consecutive events in it), events, of_events.
 
     Buckets of BUCKET index numbers are summed up each for itself, and the summaries of a file put together in order;
-    no task holds more of a file than a bucket's events or its summaries.
+    no row holds more of a file than a bucket's events or its summaries.
     """
-    rows = told.withColumn("bucket", F.floor(F.col("index") / BUCKET).cast("long"))
-    sums = rows.groupBy("file_id", "bucket").applyInPandas(_run_summary, "file_id long, bucket long, lang int, n int, head int, tail int, longest int, events int")
-    filled = rows.groupBy("file_id", "bucket").agg(F.count(F.lit(1)).alias("all"))
-    placed = filled.select("file_id", "bucket", F.row_number().over(Window.partitionBy("file_id").orderBy("bucket")).alias("place"))
-    totals = sums.join(placed, ["file_id", "bucket"]).groupBy("file_id", "lang").applyInPandas(_run_total, "file_id long, lang int, longest int, events int")
-    whole = filled.groupBy("file_id").agg(F.sum("all").alias("of_events"))
+    rows = told.select("file_id", F.floor(F.col("index") / BUCKET).cast("long").alias("bucket"), F.struct("index", F.col("code").bitwiseAND(63).cast("int").alias("m")).alias("at"))
+    masks = rows.groupBy("file_id", "bucket").agg(F.transform(F.array_sort(F.collect_list("at")), lambda x: x["m"]).alias("masks"))
+    each = masks.select("file_id", "bucket", F.posexplode(F.array(*[_bucket_runs(F.col("masks"), k) for k in range(len(LANGUAGES))])).alias("lang", "s"))
+    totals = each.groupBy("file_id", "lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "s"))), lambda x: x["s"]).alias("b"), F.sum("s.events").cast("int").alias("events"), F.sum("s.n").alias("of_events"))
     names = F.array(*map(F.lit, LANGUAGES))
-    return totals.join(whole, "file_id").select("file_id", F.get(names, "lang").alias("language"), "longest", "events", "of_events")
+    return totals.filter("events > 0").select("file_id", F.get(names, "lang").alias("language"), _longest(F.col("b")).alias("longest"), "events", "of_events")
