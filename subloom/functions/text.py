@@ -48,13 +48,12 @@ def bad_chars(c: str | Column) -> Column:
     return F.array_sort(F.transform(found, wide))
 
 
-def is_caption(c: str | Column, ratio: float = 0.8, min_words: int = 3) -> Column:
-    """Wholly in () or [], or of at least min_words words and mostly capitals."""
-    t = strip(c)
-    first, last = F.substring(t, 1, 1), F.substring(t, -1, 1)
-    wrapped = ((first == "(") & (last == ")")) | ((first == "[") & (last == "]"))
-    capitals = (count(t, r"\p{L}") > 0) & (word_count(t) >= min_words) & (count(t, r"\p{Lu}") / F.nullif(count(t, r"\p{L}"), F.lit(0)) >= ratio)
-    return F.coalesce((t != "") & (wrapped | capitals), F.lit(False))
+def is_caption(stripped: str | Column, ratio: float = 0.8, min_words: int = 3) -> Column:
+    """For a stripped text: wholly in () or [], or of at least min_words words and mostly capitals."""
+    t = col(stripped)
+    wrapped = t.rlike(r"(?s)^(?:\(.*\)|\[.*\])$")
+    capitals = (word_count(t) >= min_words) & (count(t, r"\p{Lu}") >= ratio * F.greatest(count(t, r"\p{L}"), F.lit(1)))
+    return F.coalesce(wrapped | capitals, F.lit(False))
 
 
 def dedupe_key(c: str | Column) -> Column:

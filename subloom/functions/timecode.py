@@ -20,8 +20,8 @@ def to_seconds(stamp: str | Column) -> Column:
 
 
 def to_stamp(seconds: str | Column) -> Column:
-    """83.4 as '0:01:23.40'; negative values count as 0, halves go to the even centisecond."""
+    """83.4 as '0:01:23.40'; negative values count as 0, halves go to the even centisecond; null for null."""
     cs = F.rint(F.greatest(col(seconds), F.lit(0.0)) * 100).cast("long")
     h, m = F.floor(cs / 360000), F.pmod(F.floor(cs / 6000), F.lit(60))
     s, c = F.pmod(F.floor(cs / 100), F.lit(60)), F.pmod(cs, F.lit(100))
-    return F.format_string("%d:%02d:%02d.%02d", h, m, s, c)
+    return F.when(col(seconds).isNotNull(), F.format_string("%d:%02d:%02d.%02d", h, m, s, c))

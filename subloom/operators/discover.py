@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subloom.functions.chars import CYRILLIC, LATIN, LETTER, count
+from subloom.functions.chars import CYRILLIC, LATIN, LETTER, count, one_line
 from subloom.functions.tags import is_translatable_struct, protect
-from subloom.functions.chars import one_line
 from subloom.functions.text import base_key, group_dir, language_from_filename, language_from_folder, make_id
 
 
@@ -79,5 +79,21 @@ def unique_ids(wanted: list[str]) -> list[str]:
     return out
 
 
-def manifest_rows(files: DataFrame) -> DataFrame:
-    return files.select("root_no", "path", "sha1", "language", "language_source", "disposition", "reason", "duplicate_of", make_id("group_dir", "base_key").alias("wanted_id"))
+def with_ids(kept: DataFrame) -> DataFrame:
+    """Adds id to kept files (root_no, path, wanted_id): unique, first come first served by root and path.
+
+    A suffix can only meet ids that are the same but for trailing numbers, so each such family is settled for itself.
+    """
+    family = F.regexp_replace("wanted_id", r"(?:_\d+)+$", "")
+    rows = kept.select("root_no", "path", "wanted_id", family.alias("_family"))
+
+    def settle(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.assign(low=part["path"].str.lower()).sort_values(["root_no", "low", "path"])
+        return pd.DataFrame({"root_no": part["root_no"], "path": part["path"], "id": unique_ids(part["wanted_id"].tolist())})
+
+    ids = rows.groupBy("_family").applyInPandas(settle, "root_no int, path string, id string")
+    return kept.join(ids, ["root_no", "path"])
+
+
+def with_wanted_id(files: DataFrame) -> DataFrame:
+    return files.withColumn("wanted_id", make_id("group_dir", "base_key"))

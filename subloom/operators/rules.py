@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subloom.functions.chars import SPACE, col, strip
+from subloom.functions.chars import SPACE, col, one_line, strip
 from subloom.functions.tags import has_tags, is_translatable_struct, protect
-from subloom.functions.chars import one_line
 from subloom.functions.text import cyrillic_ratio, has_control_chars, is_caption
 from subloom.functions.timecode import to_seconds
 
@@ -63,8 +62,8 @@ def with_drop_reason(events: DataFrame, cfg: ExtractConfig = ExtractConfig()) ->
     return e.withColumns({"plain": F.coalesce(plain, F.lit("")), "start_s": start, "end_s": F.greatest(start, end), "has_tags": has_tags("text"), "drop_reason": reason}).drop("_p")
 
 
-def reject_reasons(text: str | Column, cfg: CleanConfig = CleanConfig()) -> Column:
-    t = strip(F.coalesce(col(text), F.lit("")))
+def reject_reasons(stripped: str | Column, cfg: CleanConfig = CleanConfig()) -> Column:
+    t = col(stripped)
     when = lambda cond, name: F.when(cond, F.lit(name))
     rules = [
         when(t.rlike(NO_LETTERS), "punctuation_only"),
@@ -79,8 +78,8 @@ def reject_reasons(text: str | Column, cfg: CleanConfig = CleanConfig()) -> Colu
     return F.when(t == "", F.array(F.lit("empty_text"))).otherwise(F.array_compact(F.array(*rules)))
 
 
-def review_reasons(text: str | Column, cfg: CleanConfig = CleanConfig()) -> Column:
-    t = strip(F.coalesce(col(text), F.lit("")))
+def review_reasons(stripped: str | Column, cfg: CleanConfig = CleanConfig()) -> Column:
+    t = col(stripped)
     caption = is_caption(t, cfg.caption_uppercase_ratio, cfg.caption_min_words) if cfg.flag_captions else F.lit(False)
     return F.array_compact(F.array(F.when(F.length(t) > cfg.max_chars, F.lit("very_long")), F.when(caption, F.lit("caption"))))
 
@@ -90,7 +89,9 @@ def with_classification(df: DataFrame, text: str = "text", cfg: CleanConfig = Cl
 
     Rejected lines have their reject reasons only.
     """
-    df = df.withColumns({"_reject": reject_reasons(text, cfg), "_review": review_reasons(text, cfg)})
+    # Columns of their own, so that no rule works them out again.
+    df = df.withColumn("_t", strip(F.coalesce(F.col(text), F.lit(""))))
+    df = df.withColumns({"_reject": reject_reasons("_t", cfg), "_review": review_reasons("_t", cfg)})
     rejected, review = F.size("_reject") > 0, F.size("_review") > 0
     status = F.when(rejected, "rejected").when(review, "review").otherwise("clean")
-    return df.withColumns({"status": status, "reasons": F.when(rejected, F.col("_reject")).otherwise(F.col("_review"))}).drop("_reject", "_review")
+    return df.withColumns({"status": status, "reasons": F.when(rejected, F.col("_reject")).otherwise(F.col("_review"))}).drop("_t", "_reject", "_review")

@@ -90,7 +90,7 @@ def text_measures(spark, sf_dir):
         F.round(text.cyrillic_ratio(t), 9).alias("cyrillic_ratio"),
         text.word_count(t).alias("words"),
         text.has_control_chars(t).alias("control"),
-        text.is_caption(t).alias("caption"),
+        text.is_caption(chars.strip(t)).alias("caption"),
         text.dedupe_key(t).alias("key"),
         chars.one_line(t).alias("one_line"),
     )

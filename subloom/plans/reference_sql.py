@@ -55,8 +55,8 @@ def _classified(source: str, key: str, text: str) -> str:
     listed = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rules)
     return f"""stripped AS (SELECT {key}, coalesce({text}, '') AS raw, {_strip(f"coalesce({text}, '')")} AS t FROM {source}),
 classified AS (
-  SELECT *, CASE WHEN t = '' THEN ['empty_text'] ELSE list_filter([{listed}], x -> x IS NOT NULL) END AS reject,
-    list_filter([CASE WHEN length(t) > 600 THEN 'very_long' END, CASE WHEN {_caption(t)} THEN 'caption' END], x -> x IS NOT NULL) AS review
+  SELECT *, CASE WHEN t = '' THEN ['empty_text'] ELSE list_filter([{listed}], lambda x: x IS NOT NULL) END AS reject,
+    list_filter([CASE WHEN length(t) > 600 THEN 'very_long' END, CASE WHEN {_caption(t)} THEN 'caption' END], lambda x: x IS NOT NULL) AS review
   FROM stripped
 ), judged AS (
   SELECT *, CASE WHEN len(reject) > 0 THEN 'rejected' WHEN len(review) > 0 THEN 'review' ELSE 'clean' END AS status,
@@ -107,15 +107,15 @@ def _stamp(c: str) -> str:
 
 
 _SPLIT = "[" + SPACE + r"._\-()\[\]{}]+"
-_TOKENS = f"list_filter(regexp_split_to_array(lower(stem), {_q(_SPLIT)}), x -> x <> '')"
+_TOKENS = f"list_filter(regexp_split_to_array(lower(stem), {_q(_SPLIT)}), lambda x: x <> '')"
 _EN, _MN = str(EN_TOKENS), str(MN_TOKENS)
 _BOTH = str(EN_TOKENS + MN_TOKENS)
 _BY_NAME = f"CASE WHEN list_has_any({_TOKENS}, {_EN}) AND NOT list_has_any({_TOKENS}, {_MN}) THEN 'en' WHEN list_has_any({_TOKENS}, {_MN}) AND NOT list_has_any({_TOKENS}, {_EN}) THEN 'mn' END"
-_FOLDERS = "list_filter(string_split(coalesce(rel_dir, ''), '/'), x -> x <> '')"
-_FIRST = f"lower(list_filter({_FOLDERS}, x -> list_contains({_BOTH}, lower(x)))[1])"
+_FOLDERS = "list_filter(string_split(coalesce(rel_dir, ''), '/'), lambda x: x <> '')"
+_FIRST = f"lower(list_filter({_FOLDERS}, lambda x: list_contains({_BOTH}, lower(x)))[1])"
 _BY_FOLDER = f"CASE WHEN list_contains({_EN}, {_FIRST}) THEN 'en' WHEN list_contains({_MN}, {_FIRST}) THEN 'mn' END"
-_GROUP = f"array_to_string(list_filter({_FOLDERS}, x -> NOT list_contains({_BOTH}, lower(x))), '/')"
-_BASE = f"array_to_string(list_filter({_TOKENS}, x -> NOT list_contains({_BOTH}, x)), '_')"
+_GROUP = f"array_to_string(list_filter({_FOLDERS}, lambda x: NOT list_contains({_BOTH}, lower(x))), '/')"
+_BASE = f"array_to_string(list_filter({_TOKENS}, lambda x: NOT list_contains({_BOTH}, x)), '_')"
 _JOINED = f"concat_ws('_', nullif(replace({_GROUP}, '/', '_'), ''), nullif({_BASE}, ''))"
 _SAFE = f"regexp_replace(regexp_replace(CASE WHEN {_JOINED} = '' THEN 'root' ELSE {_JOINED} END, '[^A-Za-z0-9_.\\-]+', '_', 'g'), '^_+|_+$', '', 'g')"
 
@@ -156,10 +156,10 @@ FROM line_records WHERE movie_id IS NOT NULL WINDOW w AS (PARTITION BY movie_id
     "text_measures": f"""SELECT record_id, {_count('text', LETTER)} AS letters, {_count('text', LATIN)} AS latin, {_count('text', CYRILLIC)} AS cyrillic,
 round(coalesce({_count('text', LATIN)}::DOUBLE / nullif({_count('text', LETTER)}, 0), 0), 9) AS latin_ratio, round(coalesce({_count('text', CYRILLIC)}::DOUBLE / nullif({_count('text', LETTER)}, 0), 0), 9) AS cyrillic_ratio,
 {_count('text', WORD)} AS words, {_match('text', _CONTROL)} AS control, {_caption(_strip('text'))} AS caption, {_KEY.replace('raw', 'text')} AS key, {_one_line('text')} AS one_line FROM line_records""",
-    "bad_characters": r"""WITH found AS (SELECT record_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, '[\x{fffd}\x{00}-\x{08}\x{0b}-\x{1f}\x{7f}-\x{9f}\x{ad}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{feff}\x{e000}-\x{f8ff}]'), c -> printf('U+%04X', unicode(c))))) AS b FROM line_records)
+    "bad_characters": r"""WITH found AS (SELECT record_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, '[\x{fffd}\x{00}-\x{08}\x{0b}-\x{1f}\x{7f}-\x{9f}\x{ad}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{feff}\x{e000}-\x{f8ff}]'), lambda c: printf('U+%04X', unicode(c))))) AS b FROM line_records)
 SELECT record_id, array_to_string(b, ',') AS bad FROM found WHERE len(b) > 0""",
     "name_or_symbol": f"""WITH w AS (SELECT record_id, {_strip('text')} AS t FROM line_records), x AS (SELECT *, regexp_extract_all(t, {_q(LETTER + "+(?:['" + chr(92) + "x{2019}-]" + LETTER + "+)*")}) AS ws FROM w)
-SELECT record_id, NOT {_match('t', LETTER)} OR len(ws) = 0 OR (len(ws) <= 2 AND len(list_filter(ws, y -> NOT regexp_matches(y, '^\\p{{Lu}}'))) = 0) AS keeps FROM x""".replace("\\\\p", "\\p"),
+SELECT record_id, NOT {_match('t', LETTER)} OR len(ws) = 0 OR (len(ws) <= 2 AND len(list_filter(ws, lambda y: NOT regexp_matches(y, '^\\p{{Lu}}'))) = 0) AS keeps FROM x""".replace("\\\\p", "\\p"),
     "word_stats_by_source": f"SELECT source, lang, count(*) AS n_docs, CAST(sum(coalesce({_count('text', WORD)}, 0)) AS BIGINT) AS words, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY source, lang",
     "event_drop_reasons": _EVENTS + f", judged AS (SELECT *, {_REASON} AS drop_reason FROM told) SELECT event_id, drop_reason, CASE WHEN drop_reason IS NULL THEN one END AS plain, coalesce(regexp_matches(text, '\\{{[^}}]*\\}}'), false) AS has_tags FROM judged",
     "drop_reason_counts": _EVENTS + f", judged AS (SELECT *, coalesce({_REASON}, 'extracted') AS drop_reason FROM told WHERE kind = 'Dialogue') SELECT file_id, drop_reason, count(*) AS n FROM judged GROUP BY GROUPING SETS ((file_id, drop_reason), (drop_reason))",
@@ -223,7 +223,7 @@ UNION ALL SELECT a.file_id, 'other', count(*) FROM a JOIN b USING (file_id, n) W
     "translation_validation": _EVENTS
     + f""", numbered AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY event_id) AS n FROM told), p AS (SELECT *, n % 9 = 0 AS lost, {_strip('plain_text')} AS src FROM numbered WHERE translatable
 ), w AS (SELECT *, regexp_extract_all(src, {_q(LETTER + "+(?:['" + chr(92) + "x{2019}-]" + LETTER + "+)*")}) AS ws FROM p
-), f AS (SELECT *, NOT lost AND NOT (len(ws) = 0 OR (len(ws) <= 2 AND len(list_filter(ws, y -> NOT regexp_matches(y, '^\\p{{Lu}}'))) = 0)) AS same FROM w
+), f AS (SELECT *, NOT lost AND NOT (len(ws) = 0 OR (len(ws) <= 2 AND len(list_filter(ws, lambda y: NOT regexp_matches(y, '^\\p{{Lu}}'))) = 0)) AS same FROM w
 ), s AS (SELECT file_id, count(*) AS translatable, count(*) FILTER (lost) AS n_empty, count(*) FILTER (same) AS n_untranslated, CAST(sum(CASE WHEN lost THEN 0 ELSE {_count('plain_text', LETTER)} END) AS BIGINT) AS letters, CAST(sum(CASE WHEN lost THEN 0 ELSE {_count('plain_text', LATIN)} END) AS BIGINT) AS latin FROM f GROUP BY file_id)
 SELECT *, n_untranslated::DOUBLE / translatable > 0.02 AS too_many_untranslated, coalesce(latin::DOUBLE / nullif(letters, 0), 0) > 0.25 AS too_much_latin FROM s""".replace("\\\\", "\\"),
 }
