@@ -80,8 +80,8 @@ class Repairer:
 
     def __init__(self, pairs: np.ndarray | None = None) -> None:
         counts = np.zeros((_SIZE, _SIZE)) if pairs is None else np.asarray(pairs, float).reshape(_SIZE, _SIZE)
-        bits = -np.log2((counts + 1) / (counts.sum(1, keepdims=True) + _SIZE))
-        excess = np.clip((bits - 6.0) * 0.4, 0, 1.6) if counts.sum() > 1000 else np.zeros_like(bits)
+        bits = -np.log2(counts / max(counts.sum(), 1) + 1e-9)
+        excess = np.clip((bits - 11) * 0.3, 0, 1.6) if counts.sum() > 1000 else np.zeros_like(bits)
         self.pair = {(a, b): float(excess[i, j]) for i, a in enumerate(CYRILLIC) for j, b in enumerate(CYRILLIC)}
         self.kinds: dict[str, tuple[str, float]] = {}
         self.memo: dict[str, tuple[str, bool, str]] = {}
@@ -223,23 +223,31 @@ class Repairer:
         if text.isascii() and not _ESCAPED.search(text):
             return text, False, ""
         parts, ways = _PARTS.split(text), []
-        garbled, left = False, []
+        garbled, left, found = False, [], []
         for i in range(0, len(parts), 2):
             if parts[i] and (not parts[i].isascii() or _ESCAPED.search(parts[i])):
-                parts[i], bad, way = self.word(parts[i])
+                part, bad, way = self.word(parts[i])
                 garbled = garbled or bad
                 if way:
                     ways.append(way)
+                    found.append((i, parts[i], way))
                 elif not bad:
                     left.append(i)
+                parts[i] = part
         if not garbled:
             return text, False, ""
-        if ways and len(ways) >= len(left):  # short words that tell nothing alone follow the others of their text
+        if ways:
             usual = max(set(ways), key=lambda w: (ways.count(w), w))
-            for i in left:
-                other = self.apply(usual, parts[i])
-                if self.cost(other) <= self.cost(parts[i]) + 0.1 and not (parts[i].islower() and other.isupper()):
-                    parts[i] = other
+            if len(ways) >= len(left):  # short words that tell nothing alone follow the others of their text
+                for i in left:
+                    other = self.apply(usual, parts[i])
+                    if self.cost(other) <= self.cost(parts[i]) + 0.1 and not (parts[i].islower() and other.isupper()):
+                        parts[i] = other
+            for i, raw, way in found:  # and so do words for which a rarer way seemed as good
+                if way != usual and ways.count(usual) > 1:
+                    other = self.apply(usual, raw)
+                    if self.cost(other) <= min(self.cost(parts[i]) + 2.5, 0.6 * self.cost(raw)):
+                        parts[i] = other
         return "".join(parts), True, ", ".join(sorted(set(ways)))
 
     def apply(self, way: str, word: str) -> str:

@@ -113,7 +113,7 @@ def _fit_words(count: np.ndarray, total: np.ndarray, at: np.ndarray, difficulty:
         var = np.maximum(e2 / np.maximum(e0, 1e-9) - mean**2, 1e-3)
         b += np.clip((n * (s / n - mean) - RIDGE * b) / (n * var + RIDGE), -0.5, 0.5)
     w = np.exp(np.clip(a[:, None] + b[:, None] * GRID[None, :] - log_z[None, :], -60, 30))
-    expected = np.maximum.accumulate((w * b[:, None]).sum(0) / w.sum(0)) + np.arange(len(GRID)) * 1e-9
+    expected = np.maximum.accumulate((w * b[:, None]).sum(0) / np.maximum(w.sum(0), 1e-300)) + np.arange(len(GRID)) * 1e-9
     out = np.zeros(BUCKETS)
     out[some] = b
     return out, expected
