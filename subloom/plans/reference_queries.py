@@ -83,12 +83,12 @@ def text_measures(spark, sf_dir):
     t = F.col("text")
     return _lines(spark, sf_dir).select(
         "record_id",
-        chars.count(t, chars.LETTER).alias("letters"),
-        chars.count(t, chars.LATIN).alias("latin"),
-        chars.count(t, chars.CYRILLIC).alias("cyrillic"),
+        chars.count(t, chars.LETTER).cast("long").alias("letters"),
+        chars.count(t, chars.LATIN).cast("long").alias("latin"),
+        chars.count(t, chars.CYRILLIC).cast("long").alias("cyrillic"),
         F.round(text.latin_ratio(t), 9).alias("latin_ratio"),
         F.round(text.cyrillic_ratio(t), 9).alias("cyrillic_ratio"),
-        text.word_count(t).alias("words"),
+        text.word_count(t).cast("long").alias("words"),
         text.has_control_chars(t).alias("control"),
         text.is_caption(chars.strip(t)).alias("caption"),
         text.dedupe_key(t).alias("key"),
@@ -147,7 +147,7 @@ def timestamps(spark, sf_dir):
 def tag_summary(spark, sf_dir):
     """Tags, karaoke, drawings and translatability of every event."""
     e = _events(spark, sf_dir).withColumn("p", tags.protect("text"))
-    return e.select("event_id", F.size("p.tags").alias("n_tags"), F.col("p.karaoke").alias("karaoke"), F.col("p.drawing").alias("drawing"), tags.is_translatable_struct(F.col("p")).alias("translatable"), tags.has_tags("text").alias("has_tags"), F.col("p.plain").alias("plain"))
+    return e.select("event_id", F.size("p.tags").cast("long").alias("n_tags"), F.col("p.karaoke").alias("karaoke"), F.col("p.drawing").alias("drawing"), tags.is_translatable_struct(F.col("p")).alias("translatable"), tags.has_tags("text").alias("has_tags"), F.col("p.plain").alias("plain"))
 
 
 @query
@@ -169,7 +169,7 @@ def extracted_records(spark, sf_dir):
 def stable_partition(spark, sf_dir):
     """New places of the event lines of each file when lines with a top-position tag go last."""
     e = _events(spark, sf_dir).withColumn("top", F.coalesce(F.col("kind").isin("Dialogue", "Comment") & F.col("text").rlike(reorder.TOP), F.lit(False)))
-    return reorder.new_positions(e, "file_id", "event_id", F.col("top")).select("file_id", "event_id", "new_pos")
+    return reorder.new_positions(e, "file_id", "event_id", F.col("top")).select("file_id", "event_id", F.col("new_pos").cast("long").alias("new_pos"))
 
 
 def _rendered(e: DataFrame) -> Column:
@@ -189,7 +189,7 @@ def ass_render_parse(spark, sf_dir):
     """Events written as documents and read back: place in the file and all fields."""
     e = _events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'")
     out = ass.parse_events(files.lines(_documents_of(e, "\r\n"), "file_id"), "file_id")
-    return out.select("file_id", (F.col("index") - 1).alias("ordinal"), "kind", "layer", "start", "end", "style", "name", "margin_l", "margin_r", "margin_v", "effect", "text")
+    return out.select("file_id", (F.col("index") - 1).cast("long").alias("ordinal"), "kind", "layer", "start", "end", "style", "name", "margin_l", "margin_r", "margin_v", "effect", "text")
 
 
 @query
@@ -202,7 +202,7 @@ def srt_render_parse(spark, sf_dir):
     rows = rows.withColumn("cue", cue)
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("record_id", "cue"))), lambda x: x["cue"]), "\n")
     docs = rows.groupBy("movie_id").agg(body.alias("text"))
-    return srt.parse_events(docs, "movie_id").select("movie_id", F.col("index").alias("ordinal"), "start", "end", "text")
+    return srt.parse_events(docs, "movie_id").select("movie_id", F.col("index").cast("long").alias("ordinal"), "start", "end", "text")
 
 
 @query
