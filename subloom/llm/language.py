@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from subloom.llm.encoding import Repairer
 
 LANGUAGES = ("en", "mn", "ru", "de", "fr", "es")
-DIM, GRAM, SAMPLE = 16384, 3, 400
+DIM, GRAM, SAMPLE, LONGEST = 16384, 3, 400, 100_000
 #: A whole word counts as so many n-grams.
 WHOLE = 2.0
 MIN_WORDS, MIN_EVENTS = 25, 5
@@ -202,7 +202,7 @@ def stretches(seg: pd.DataFrame) -> pd.DataFrame:
 
 def labels(codes: DataFrame, code_col: str = "code", language_col: str = "language") -> dict[str, str]:
     """The notations of language labels: a fixed table of some dozens of rows."""
-    return {r[0].strip().lower(): r[1].strip().lower()[:2] for r in codes.select(code_col, language_col).dropna().limit(10_000).collect()}
+    return {r[0].strip().lower(): r[1].strip().lower()[:2] for r in codes.select(code_col, language_col).dropna().collect()}
 
 
 def label_column(col: str, known: dict[str, str]):
@@ -224,9 +224,11 @@ def _sampled(rows: DataFrame, sample: int) -> list:
 def fit(docs: DataFrame, text_col: str, label: str, events: DataFrame | None = None, sample: int = SAMPLE) -> np.ndarray:
     """Prototypes from about `sample` labelled documents of each language, and ten times as many labelled events.
 
-    events: file_id, text, label. The rows are chosen by the hash of their text.
+    events: file_id, text, label. The rows are chosen by the hash of their text; texts of more than LONGEST characters
+    aren't trained on, so that the sample stays small.
     """
-    pick = lambda df, *more: df.filter(F.col(label).isin(*LANGUAGES) & F.col(text_col).isNotNull()).select(F.col(label).alias("l"), F.substring(F.col(text_col).cast("string"), 1, 20_000).alias("t"), *more)
+    usable = F.col(label).isin(*LANGUAGES) & (F.length(text_col) <= LONGEST)
+    pick = lambda df, *more: df.filter(usable).select(F.col(label).alias("l"), F.col(text_col).cast("string").alias("t"), *more)
     found = [(r["l"], r["t"]) for r in _sampled(pick(docs), sample)]
     if events is not None:
         files: dict[tuple[str, int], list[str]] = {}
