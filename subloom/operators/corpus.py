@@ -32,8 +32,10 @@ def deduped(df: DataFrame, order: list[str], text: str = "text", cfg: CleanConfi
         return rows
     body = F.coalesce(F.col(text), F.lit(""))
     exact = strip(body)
-    rows = rows.withColumns({"_exact": exact, "_key": F.when(F.col("status") != "rejected", dedupe_key(body) if cfg.near_dedupe else exact)})
-    keyed = rows.filter(F.col("_key").isNotNull())
+    # Rejected lines get keys that no line has, many of them, so that they don't meet in one task of the join.
+    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*order), F.lit(4096)).cast("string"))
+    rows = rows.withColumns({"_exact": exact, "_key": F.when(F.col("status") != "rejected", dedupe_key(body) if cfg.near_dedupe else exact).otherwise(apart)})
+    keyed = rows.filter("status <> 'rejected'")
     first = stored(first_per_key(keyed, "_key", order, "_exact").filter("n > 1"))
     hot = hot_keys(first, ["_key"], "n", keyed.count())
     joined = salted_join(rows, first, ["_key"], hot, order[-1], "left") if hot is not None else rows.join(first, ["_key"], "left")

@@ -56,6 +56,23 @@ def test_dedupe_against_a_loop(spark):
     assert got == want
 
 
+def test_hot_keys_are_salted(spark, monkeypatch):
+    from subloom.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "SHARE", 4)
+    texts = ["hot line"] * 60 + ["Hot line!"] * 20 + ["a b", "A b", "c", "...", "..."]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = [r["reasons"] for r in corpus.deduped(d, ["i"]).orderBy("i").collect()]
+    assert got[0] == [] and all(x == ["duplicate_exact"] for x in got[1:60]) and all(x == ["duplicate_near"] for x in got[60:80])
+    assert got[80:] == [[], ["duplicate_near"], [], ["punctuation_only"], ["punctuation_only"]]
+    counted = d.groupBy("text").agg(F.count("*").alias("n"))
+    hot = skew.hot_keys(counted, ["text"], "n", len(texts))
+    assert [r["text"] for r in hot.collect()] == ["hot line"]
+    joined = skew.salted_join(d, counted, ["text"], hot, "i")
+    assert sorted((r["i"], r["text"], r["n"]) for r in joined.collect()) == sorted((i, t, texts.count(t)) for i, t in enumerate(texts))
+
+
 def events(spark, rows):
     full = [(1, i, i, "Dialogue", 0, s, e, st, n, "0", "0", "0", fx, t) for i, (s, e, t, st, n, fx) in enumerate(rows)]
     return spark.createDataFrame(full, "file_id long, line_no int, index int, kind string, layer int, start string, end string, style string, name string, margin_l string, margin_r string, margin_v string, effect string, text string").withColumn("extra", F.create_map().cast("map<string,string>"))
