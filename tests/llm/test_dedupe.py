@@ -37,6 +37,16 @@ def test_copies(spark, least):
     assert copies(d.limit(0), "record_id", "text").count() == 0
 
 
+def test_hot_group(spark, monkeypatch):
+    from subloom.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "SHARE", 4)
+    rows = [(i, t) for i, t in enumerate(["hot line!"] * 90 + ["Hot, line"] * 30 + ["a", "A", "b"])]
+    d = spark.createDataFrame(rows, "record_id long, text string")
+    assert sorted(tuple(x) for x in copies(d, "record_id", "text").collect()) == brute(rows, 1)
+
+
 def test_equal_hashes_of_other_texts(spark, monkeypatch):
     rows = [(1, "abc"), (2, "a b c"), (3, "xyz"), (4, "x-yz"), (5, "xyz"), (6, "mno")]
 
