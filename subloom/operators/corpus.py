@@ -37,7 +37,7 @@ def deduped(df: DataFrame, order: list[str], text: str = "text", cfg: CleanConfi
     rows = rows.withColumns({"_exact": exact, "_key": F.when(F.col("status") != "rejected", dedupe_key(body) if cfg.near_dedupe else exact).otherwise(apart)})
     keyed = rows.filter("status <> 'rejected'")
     first = stored(first_per_key(keyed, "_key", order, "_exact").filter("n > 1"))
-    hot = hot_keys(first, ["_key"], "n", keyed.count())
+    hot = hot_keys(first, ["_key"], "n", df.count())  # all rows, rejected ones too: a bound that costs no rules
     joined = salted_join(rows, first, ["_key"], hot, order[-1], "left") if hot is not None else rows.join(first, ["_key"], "left")
     is_first = F.lit(True)
     for c in order:

@@ -60,6 +60,10 @@ def manifest(told: DataFrame, roots: Sequence[str]) -> dict[str, Any]:
     }
 
 
+def load_manifest(path: str) -> dict[str, Any]:
+    return json.loads(Path(path).read_text(encoding="utf-8"))
+
+
 def statistics(kept: DataFrame, events: DataFrame, told: dict[str, Any]) -> dict[str, Any]:
     """Statistics of kept files (id, path, extension), those without events included."""
     e = events.withColumn("p", tags.protect("text"))
@@ -149,7 +153,11 @@ def run_pipeline(spark: SparkSession, roots: Sequence[str], out: str = DEFAULT_O
     dropped = {r["reason"]: r["n"] for r in drops.groupBy("reason").agg(F.sum("n").alias("n")).collect()}
     extracted = dropped.pop("extracted", 0)
     dropped = {k: dropped.get(k, 0) for k in ("not_translatable", "skipped_style", "skipped_effect", "bad_timestamp")}
-    _write_json(target / "extract_summary.json", {"total_lines": extracted, "dropped": dropped, "failed": []})
+    movies: dict[str, dict[str, int]] = {}
+    for r in drops.collect():  # one row a file and reason
+        movies.setdefault(r["movie_id"], {})[r["reason"]] = r["n"]
+    per = {m: {"dialogue_events": sum(v.values()), "extracted": v.get("extracted", 0), **{k: v.get(k, 0) for k in dropped}} for m, v in sorted(movies.items())}
+    _write_json(target / "extract_summary.json", {"movies": per, "total_lines": extracted, "dropped": dropped, "failed": []})
 
     cfg = rules.CleanConfig(dedupe=dedupe)
     cleaned, statuses, reasons = clean(rows, CORPUS_ORDER, cfg)

@@ -172,16 +172,8 @@ def stable_partition(spark, sf_dir):
     return reorder.new_positions(e, "file_id", "event_id", F.col("top")).select("file_id", "event_id", F.col("new_pos").cast("long").alias("new_pos"))
 
 
-def _rendered(e: DataFrame) -> Column:
-    fields = ["layer", "start", "end", "style", "name", "margin_l", "margin_r", "margin_v", "effect", "text"]
-    return F.concat(F.col("kind"), F.lit(": "), F.concat_ws(",", *[F.col(f).cast("string") for f in fields]))
-
-
 def _documents_of(e: DataFrame, end: str) -> DataFrame:
-    """One text a file: its events by event_id as document lines."""
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", _rendered(e).alias("line")))), lambda x: x["line"]), end)
-    head = end.join(["[Script Info]", "Title: x", "", "[Events]", "Format: " + ", ".join(ass.EVENT_FORMAT), ""])
-    return e.groupBy("file_id").agg(F.concat(F.lit(head), body, F.lit(end)).alias("text"))
+    return ass.render_documents(e, "file_id", "event_id", end)
 
 
 @query
@@ -192,6 +184,23 @@ def ass_render_parse(spark, sf_dir):
     return out.select("file_id", (F.col("index") - 1).cast("long").alias("ordinal"), "kind", "layer", "start", "end", "style", "name", "margin_l", "margin_r", "margin_v", "effect", "text")
 
 
+@query
+def styles_render_parse(spark, sf_dir):
+    """Styles of the documents that events were written as."""
+    out = ass.parse_styles(files.lines(_documents_of(_events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'"), "\n"), "file_id"), "file_id")
+    return out.select("file_id", "name", F.element_at("fields", "Fontname").alias("font"), F.size("fields").cast("long").alias("n_fields"))
+
+
+@query
+def section_validation(spark, sf_dir):
+    """Issues of sections for documents of which every third has another title and every fifth a new section."""
+    docs = _documents_of(_events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'"), "\n")
+    other = F.when(F.col("file_id") % 3 == 0, F.replace("text", F.lit("Title: "), F.lit("Title: y"))).otherwise(F.col("text"))
+    other = F.when(F.col("file_id") % 5 == 0, F.concat(other, F.lit("[Fonts]\n"))).otherwise(other)
+    sections = lambda d: ass.with_sections(files.lines(d, "file_id"), "file_id").filter("NOT is_header AND section <> ''")
+    return validate.section_issues(sections(docs), sections(docs.withColumn("text", other)), "file_id")
+
+
 @query
 def srt_render_parse(spark, sf_dir):
     """Lines written as cues of a movie and read back, repeated cues once."""
@@ -249,6 +258,13 @@ def _script(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.script_language(_events(spark, sf_dir).withColumn("line_no", F.col("event_id")))
 
 
+@query
+def episode_ids(spark, sf_dir):
+    """Unique ids of all files, as if all were kept: the first of a name has it, later ones get suffixes."""
+    f = read_table(spark, sf_dir, "subtitle_files").select(F.lit(0).alias("root_no"), "path", text.group_dir("rel_dir").alias("group_dir"), text.base_key("stem").alias("base_key"))
+    return discover.with_ids(discover.with_wanted_id(f)).select("path", "wanted_id", "id")
+
+
 @query
 def script_language(spark, sf_dir):
     """Letters by script of each file's first lines, and the language that they speak for."""

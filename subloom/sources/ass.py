@@ -102,3 +102,18 @@ def parse_styles(lines: DataFrame, file: str = "path") -> DataFrame:
     fields = F.map_from_entries(F.transform("_fmt", lambda k, i: F.struct(k.alias("key"), F.coalesce(F.get(parts, i), F.lit("")).alias("value"))))
     rows = s.select(file, "line_no", fields.alias("fields"), F.get(parts, F.lit(0)).alias("_0")).withColumn("name", F.coalesce(F.try_element_at("fields", F.lit("Name")), "_0"))
     return rows.groupBy(file, "name").agg(F.max_by("fields", "line_no").alias("fields"))
+
+
+#: Head of a written document (fixed values).
+HEAD = ["[Script Info]", "Title: ", "ScriptType: v4.00+", "WrapStyle: 0", "ScaledBorderAndShadow: yes", "PlayResX: 1280", "PlayResY: 720", "", "[V4+ Styles]", "Format: " + ", ".join(STYLE_FORMAT)]
+
+
+def render_documents(events: DataFrame, file: str, order: str, newline: str = "\r\n") -> DataFrame:
+    """file, text: a document of each file's events in order, with a style line for each style that they use."""
+    fields = ["layer", "start", "end", "style", "name", "margin_l", "margin_r", "margin_v", "effect", "text"]
+    line = F.concat(F.col("kind"), F.lit(": "), F.concat_ws(",", *[F.col(f).cast("string") for f in fields]))
+    rest = ",Arial,48,&H00FFFFFF,&H000000FF,&H00000000,&H00000000,0,0,0,0,100,100,0,0,1,2,2,2,10,10,10,1"
+    styles = F.transform(F.array_sort(F.collect_set("style")), lambda s: F.concat(F.lit("Style: "), s, F.lit(rest)))
+    body = F.transform(F.array_sort(F.collect_list(F.struct(order, line.alias("line")))), lambda x: x["line"])
+    parts = F.concat(F.array(*map(F.lit, HEAD)), styles, F.array(F.lit(""), F.lit("[Events]"), F.lit("Format: " + ", ".join(EVENT_FORMAT))), body, F.array(F.lit("")))
+    return events.groupBy(file).agg(F.array_join(parts, newline).alias("text"))
