@@ -52,7 +52,9 @@ def protect(c: str | Column) -> Column:
     none = {"template": F.array(), "tags": F.array(), "karaoke": F.lit(False), "drawing": F.lit(False), "mode": F.lit(False)}
     folded = F.aggregate(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), _state(plain=F.lit(""), **none), _step)
     full = F.when(text.contains("{"), folded).when(text.isNotNull(), _state(plain=breaks(text), **none))
-    return F.when(text.isNotNull(), F.struct(*[full[k].alias(k) for k in _EMPTY if k != "mode"]))
+    # Through an array of one, so that the fold is worked out once and not for each field.
+    once = F.transform(F.array(full), lambda p: F.struct(*[p[k].alias(k) for k in _EMPTY if k != "mode"]))
+    return F.when(text.isNotNull(), F.get(once, F.lit(0)))
 
 
 def strip_tags(c: str | Column) -> Column:
