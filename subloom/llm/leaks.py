@@ -1,13 +1,13 @@
 """Records of evaluation splits that also stand, exactly or almost, in the training split (problem 5).
 
-A record is its words in order, letters and digits without case. A rolling hash over the words cuts it where the
-content says so: a cut falls after a word whose hash has a given remainder, and from each cut a chunk reaches to the
-first later cut at least MIN_WORDS away. Chunk digests are joined across splits, where a shared chunk must stand at
-positions that differ by no more than the edits allowed; the lengths of shared chunks (up to the next cut, as chunks
-overlap) are summed into the overlap fraction of each pair of texts, and pairs above OVERLAP get an exact edit distance.
-Equal records are one class throughout (the class is the hash of the whole sequence), so copies never multiply pairs
-before the end. Records of few words, where an edit may touch every chunk, are also indexed with words left out and by
-short runs of words.
+A record is its words in order, letters and digits without case. Two records may differ by d = a fifth of the longer's
+words. A training record of n words is cut into tiles of RUN words that don't overlap, an evaluation record gives every
+run of RUN words. An edit touches one tile at most, so more than d tiles are enough for one to stand untouched in the
+other record, at most d places away. A record has n // RUN tiles, which is more than d unless the longer has so many
+words more that d = n // RUN; for those pairs alone some tiles are one word shorter, which gives one tile more, and their
+keys hold d. Digests are joined across splits, and pairs that share fewer tiles than d edits must leave are dropped; all
+others get an exact edit distance. Records of up to SHORT words meet by keys with words left out instead. Equal records
+are one class throughout (the class is the hash of the whole sequence), so copies never multiply pairs before the end.
 """
 
 from __future__ import annotations
@@ -20,40 +20,63 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subloom.llm.wordstream import CleanWords, Sequences, WordHashes, edit_distance, hash64
+from subloom.llm.wordstream import CleanWords, Sequences, WordHashes, edit_distance, hash64, mix
 
-CUT_EVERY, MIN_WORDS, OVERLAP = 3, 5, 0.03
-#: Up to SHORT words a record is also indexed with words left out, up to MIDDLE by every run of RUN words: of two records
-#: of n words that differ in n / 5, one such run is always shared.
-SHORT, MIDDLE, RUN = 14, 24, 4
+#: Words of a tile, and the words up to which records meet by keys with words left out.
+RUN, SHORT, OVERLAP = 4, 14, 0.03
+#: Records of fewer words give no tiles: a longer one than SHORT can't be near them.
+TILED = 12
 #: A chunk is hot from this many classes on (a larger corpus raises it, so that the list stays below HOT_KEYS). Records
 #: with at least half of their length in other chunks are found by those; only the rest keep their hot chunks.
 HOT_ROWS, HOT_KEYS = 20_000, 50_000
 SEEN = 1_000_000
 
 
-def _chunks(seq: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, digest, position and length (to the next cut) of every chunk."""
-    cut_after = np.flatnonzero(seq.words % np.uint64(CUT_EVERY) == 0) + 1
-    cuts = np.unique(np.concatenate([cut_after, seq.start, seq.end]))
-    some = np.flatnonzero(seq.n)
-    if not len(some):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none
-    begin = cuts[cuts < len(seq.words)]
-    step = cuts[np.searchsorted(cuts, begin, "right")] - begin
-    owner = seq.owner[begin]
-    limit = seq.end[owner]
-    at = np.searchsorted(cuts, begin + MIN_WORDS)
-    stop = np.where(at < len(cuts), cuts[np.minimum(at, len(cuts) - 1)], limit + 1)
-    keep = stop <= limit
-    small = some[seq.n[some] < MIN_WORDS]
-    every = np.arange(len(seq.words))
-    runs = every[(seq.n[seq.owner] <= MIDDLE) & (every + RUN <= seq.end[seq.owner])]
-    begin = np.concatenate([begin[keep], seq.start[small], runs])
-    stop = np.concatenate([stop[keep], seq.end[small], runs + RUN])
-    owner = np.concatenate([owner[keep], small, seq.owner[runs]])
-    return owner, seq.digest(begin, stop), begin - seq.start[owner], np.concatenate([step[keep], seq.n[small], np.ones(len(runs), np.int64)])
+def _within(seq: Sequences, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every word of records of at least `least` words: its place in the batch, its record and its place there."""
+    every = np.flatnonzero(seq.n[seq.owner] >= least)
+    owner = seq.owner[every]
+    return every, owner, every - seq.start[owner]
+
+
+def _marked(digest: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """Digests of short tiles, which meet for one number of edits only."""
+    return mix(digest.view(np.uint64) ^ mix(edits.astype(np.uint64) + np.uint64(1))).view(np.int64)
+
+
+def _tiles(seq: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, digest, position and length of every tile of training records.
+
+    n // RUN tiles of RUN words from the start; and for d = n // RUN, where those are one too few, the last of them are
+    replaced by tiles one word shorter, so that there are d + 1.
+    """
+    at, owner, pos = _within(seq, TILED)
+    n = seq.n[owner]
+    whole = (pos % RUN == 0) & (pos + RUN <= n)
+    most, short = n // RUN, RUN - n % RUN
+    tail = pos - (n - short * (RUN - 1))
+    cut = (tail >= 0) & (tail % (RUN - 1) == 0)
+    digest = np.concatenate([seq.digest(at[whole], at[whole] + RUN), _marked(seq.digest(at[cut], at[cut] + RUN - 1), most[cut])])
+    length = np.repeat([RUN, RUN - 1], [whole.sum(), cut.sum()])
+    return np.concatenate([owner[whole], owner[cut]]), digest, np.concatenate([pos[whole], pos[cut]]), length
+
+
+def _runs(seq: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, digest, position and length of every run of evaluation records that a tile may meet.
+
+    Short tiles stand at the end of a record of n words, at n - RUN * (RUN - 1) or later, and meet a longer record of
+    5 * d + r words only where n is from RUN * d + r to RUN * d + 3 (so r < 4); an equal or shorter one only below 16
+    words, where d = 3.
+    """
+    at, owner, pos = _within(seq, TILED)
+    n = seq.n[owner]
+    whole = pos + RUN <= n
+    few = n < 20
+    edits = np.where(few, 3, n // 5)
+    cut = (pos + RUN - 1 <= n) & (few | (n % 5 < RUN)) & (pos >= RUN * edits - RUN * (RUN - 1))
+    digest = np.concatenate([seq.digest(at[whole], at[whole] + RUN), _marked(seq.digest(at[cut], at[cut] + RUN - 1), edits[cut])])
+    length = np.repeat([RUN, RUN - 1], [whole.sum(), cut.sum()])
+    return np.concatenate([owner[whole], owner[cut]]), digest, np.concatenate([pos[whole], pos[cut]]), length
 
 
 #: Position, words of the record and length of a chunk share one number.
@@ -72,7 +95,7 @@ def _short_keys(words: np.ndarray) -> set[int]:
     return {hash64(repr([x for i, x in enumerate(w) if i not in out])) >> 1 for k in range(most + 1) for out in map(set, combinations(range(n), k))}
 
 
-def _table(seq: Sequences, classes: np.ndarray, seen: set[int]) -> pd.DataFrame:
+def _table(seq: Sequences, classes: np.ndarray, seen: set[int], tiled: bool) -> pd.DataFrame:
     """chunk, cls, at (packed) of the records whose class isn't among those seen."""
     fresh = np.zeros(len(classes), bool)
     for i, c in enumerate(classes.tolist()):
@@ -81,7 +104,7 @@ def _table(seq: Sequences, classes: np.ndarray, seen: set[int]) -> pd.DataFrame:
             fresh[i] = True
     if len(seen) > SEEN:
         seen.clear()
-    owner, digest, pos, length = _chunks(seq)
+    owner, digest, pos, length = _tiles(seq) if tiled else _runs(seq)
     keep = fresh[owner]
     owner = owner[keep]
     out = pd.DataFrame({"chunk": digest[keep], "cls": classes[owner], "at": _pack(pos[keep], seq.n[owner], length[keep])})
@@ -94,12 +117,12 @@ def _rows(df: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.concat_ws(" ", *[F.col(c).cast("string") for c in text_cols]).alias("text"))
 
 
-def _chunk_rows(rows: DataFrame, hot: np.ndarray | None) -> DataFrame:
+def _chunk_rows(rows: DataFrame, hot: np.ndarray | None, tiled: bool) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, seen = WordHashes(), set()
         for b in batches:
             seq = Sequences(b["text"].tolist(), memo)
-            t = _table(seq, seq.records(), seen)
+            t = _table(seq, seq.records(), seen, tiled)
             if hot is not None and len(hot):
                 is_hot = np.isin(t["chunk"].to_numpy(), hot)
                 cool = (t["at"] & _LEN).where(~is_hot, 0).groupby(t["cls"]).transform("sum")
@@ -109,15 +132,15 @@ def _chunk_rows(rows: DataFrame, hot: np.ndarray | None) -> DataFrame:
     return rows.select("text").mapInPandas(run, "chunk long, cls long, at long")
 
 
-def hot_chunks(rows: DataFrame) -> np.ndarray:
+def hot_chunks(left: DataFrame, right: DataFrame) -> np.ndarray:
     """Chunks of more than HOT_ROWS classes: each partition keeps its frequent ones in bounded space, Spark adds them up."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame], tiled: bool) -> Iterator[pd.DataFrame]:
         memo, seen = WordHashes(), set()
         counts, n = pd.Series(dtype=np.int64), 0
         for b in batches:
             seq = Sequences(b["text"].tolist(), memo)
-            found = _table(seq, seq.records(), seen)["chunk"].value_counts()
+            found = _table(seq, seq.records(), seen, tiled)["chunk"].value_counts()
             counts = counts.add(found[found > 1], fill_value=0)
             n += int(found.sum())
             if len(counts) > 4 * HOT_KEYS:
@@ -126,7 +149,8 @@ def hot_chunks(rows: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"chunk": top.index.astype(np.int64), "n": top.to_numpy().astype(np.int64), "all": 0})
         yield pd.DataFrame({"chunk": [0], "n": [0], "all": [n]})
 
-    told = rows.select("text").mapInPandas(run, "chunk long, n long, all long").groupBy("chunk").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
+    side = lambda rows, tiled: rows.select("text").mapInPandas(lambda b: run(b, tiled), "chunk long, n long, all long")
+    told = side(left, False).unionByName(side(right, True)).groupBy("chunk").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
     kept = told.filter((F.col("n") >= HOT_ROWS) | (F.col("all") > 0)).collect()  # at most one chunk for HOT_ROWS rows of a partition's frequent ones
     limit = max(HOT_ROWS, sum(r["all"] for r in kept) // HOT_KEYS)
     return np.array(sorted(r["chunk"] for r in kept if r["n"] >= limit), np.int64)
@@ -175,16 +199,15 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def class_links(left: DataFrame, right: DataFrame) -> DataFrame:
     """a, b, overlap, edits: classes of left and right records that are the same or differ by a fifth of the words at most."""
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_chunks(left.select("text").unionByName(right.select("text")))
-    side = lambda rows, k: _chunk_rows(rows, hot).repartition(n, "chunk").dropDuplicates(["chunk", "cls", "at"]).select("chunk", F.col("cls").alias(k), F.col("at").alias(f"{k}_at"))
+    hot = hot_chunks(left, right)
+    side = lambda rows, k: _chunk_rows(rows, hot, k == "b").repartition(n, "chunk").dropDuplicates(["chunk", "cls", "at"]).select("chunk", F.col("cls").alias(k), F.col("at").alias(f"{k}_at"))
     pos, words, length = (lambda k: F.shiftright(f"{k}_at", 40)), (lambda k: F.shiftright(f"{k}_at", 17).bitwiseAND((1 << 23) - 1)), (lambda k: F.col(f"{k}_at").bitwiseAND(_LEN))
     longer = F.greatest(words("a"), words("b"))
     near = (5 * F.abs(pos("a") - pos("b")) <= longer) & (5 * F.abs(words("a") - words("b")) <= longer)
     shared = side(left, "a").join(side(right, "b"), "chunk").filter(near)
     pairs = shared.groupBy("a", "b").agg(F.sum(F.least(length("a"), length("b"))).alias("shared"), F.max(longer).alias("of"))
     pairs = pairs.select("a", "b", F.least(F.lit(1.0), F.col("shared") / F.col("of")).alias("overlap"), "of")
-    # Records of few words share a run of words by construction, which may be little of them: any overlap will do.
-    pairs = pairs.filter((F.col("overlap") >= OVERLAP) | (F.col("of") <= MIDDLE * 5 / 4)).drop("of")
+    pairs = pairs.filter((F.col("overlap") >= OVERLAP) | (F.col("of") <= 30)).drop("of")
     texts = lambda rows, k: _texts(rows, k).repartition(n, k).dropDuplicates([k])
     both = pairs.join(texts(left, "a"), "a").join(texts(right, "b"), "b")
     return both.select("a", "b", "overlap", "a_words", "b_words").mapInPandas(_verify, "a long, b long, overlap double, edits int")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from subloom.llm import leaks
 from subloom.llm.groups import components, grouped_splits, related, related_pairs, rendezvous_splits, show_key
 from subloom.llm.leaks import cross_split_pairs
 from subloom.llm.wordstream import Sequences, WordHashes, edit_distance
@@ -66,6 +67,44 @@ def test_leaks_against_brute_force(spark, seed):
     assert cross_split_pairs(d.limit(0), "record_id", "split", ["before", "text", "after"]).count() == 0
 
 
+def met(a, b):
+    """Whether an evaluation record a and a training record b share a key at near places."""
+    memo, longer = WordHashes(), max(len(a), len(b))
+    keys = []
+    for t, tiled in ((a, False), (b, True)):
+        s = Sequences([" ".join(t)], memo)
+        keys.append(leaks._table(s, s.records(), set(), tiled))
+    both = keys[0].merge(keys[1], on="chunk")
+    return bool((5 * (both["at_x"] // leaks._POS - both["at_y"] // leaks._POS).abs() <= longer).any())
+
+
+@pytest.mark.parametrize("n", range(10, 61))
+def test_pairs_at_one_fifth_share_a_key(n):
+    r = random.Random(n)
+    a = [f"w{i}" for i in range(n)]
+    most = n // 5
+    placements = [[5 * i + 4 for i in range(most)], [5 * i for i in range(most)], [4 * i for i in range(most)], [4 * i + 3 for i in range(most)]] + [r.sample(range(n), most) for _ in range(15)]
+    for at in placements:
+        for kind in ("replace", "drop", "mixed"):
+            b = [[f"x{i}"] if kind == "replace" or kind == "mixed" and r.random() < 0.5 else [] for i in range(n)]
+            b = [w for i in range(n) for w in (b[i] if i in at else [a[i]])]
+            assert 5 * edit_distance(a, b, most) <= max(len(a), len(b))
+            assert met(a, b) and met(b, a)
+
+
+def test_long_records_at_one_fifth(spark):
+    """Every fifth word is another one: no stretch of more than four words is the same."""
+    r = random.Random(4)
+    rows = []
+    for n in range(25, 61):
+        t = [f"v{r.randrange(400)}" for _ in range(n)]
+        other = [f"x{r.randrange(400)}" if i % 5 == 4 else w for i, w in enumerate(t)]
+        rows += [(n, "test", " ".join(t)), (100 + n, "train", " ".join(other))]
+    d = spark.createDataFrame(rows, "record_id long, split string, text string")
+    got = {(x["eval_id"], x["train_id"]) for x in cross_split_pairs(d, "record_id", "split", ["text"]).collect()}
+    assert got == {(n, 100 + n) for n in range(25, 61)}
+
+
 def test_show_keys(spark):
     names = ["vutesone bottle season 1 episode 5", "[team]_Vutesone-Bottle-1x08_1080p", "Vutesone.Bottle.S01E07", "VutesoneBottle_S2E9", "VUTESONE_BOTTLE_Ep_03_final", "vutesone_bottle_clock_s01e01", "live", "", None, "s01e01"]
     got = [x["k"] for x in spark.createDataFrame([(n,) for n in names], "n string").select(show_key(F.col("n")).alias("k")).collect()]
