@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from subloom.llm.wordstream import CleanWords, Sequences, WordHashes, edit_distance, hash64, mix
 
 #: Words of a tile, and the words up to which records meet by keys with words left out.
-RUN, SHORT, OVERLAP = 4, 14, 0.03
+RUN, SHORT = 4, 14
 #: Records of fewer words give no tiles: a longer one than SHORT can't be near them.
 TILED = 12
 #: A chunk is hot from this many classes on (a larger corpus raises it, so that the list stays below HOT_KEYS). Records
@@ -205,9 +205,10 @@ def class_links(left: DataFrame, right: DataFrame) -> DataFrame:
     longer = F.greatest(words("a"), words("b"))
     near = (5 * F.abs(pos("a") - pos("b")) <= longer) & (5 * F.abs(words("a") - words("b")) <= longer)
     shared = side(left, "a").join(side(right, "b"), "chunk").filter(near)
-    pairs = shared.groupBy("a", "b").agg(F.sum(F.least(length("a"), length("b"))).alias("shared"), F.max(longer).alias("of"))
-    pairs = pairs.select("a", "b", F.least(F.lit(1.0), F.col("shared") / F.col("of")).alias("overlap"), "of")
-    pairs = pairs.filter((F.col("overlap") >= OVERLAP) | (F.col("of") <= 30)).drop("of")
+    # Each edit spoils one tile at most, so at least n / RUN - d of the b record's n / RUN whole tiles are shared.
+    spared = F.floor(words("b") / RUN) - F.floor(longer / 5)
+    pairs = shared.groupBy("a", "b").agg(F.sum(F.least(length("a"), length("b"))).alias("shared"), F.max(longer).alias("of"), F.count(F.lit(1)).alias("n"), F.max(spared).alias("least"))
+    pairs = pairs.filter((F.col("n") >= F.col("least")) | (F.col("of") <= SHORT)).select("a", "b", F.least(F.lit(1.0), F.col("shared") / F.col("of")).alias("overlap"))
     texts = lambda rows, k: _texts(rows, k).repartition(n, k).dropDuplicates([k])
     both = pairs.join(texts(left, "a"), "a").join(texts(right, "b"), "b")
     return both.select("a", "b", "overlap", "a_words", "b_words").mapInPandas(_verify, "a long, b long, overlap double, edits int")

@@ -105,6 +105,18 @@ def test_long_records_at_one_fifth(spark):
     assert got == {(n, 100 + n) for n in range(25, 61)}
 
 
+def test_pairs_of_little_overlap(spark):
+    """28 words put into 112 so that a single tile, 3 of 140 words, stands untouched; and a pair with 4 of 35 words alike."""
+    t = [f"w{i}" for i in range(112)]
+    spots = {*range(1, 100, 4), 100, 106, 109}
+    longer = [x for i, w in enumerate(t) for x in ([w, f"y{i}"] if i in spots else [w])]
+    other = [w if i in (0, 1, 2, 3) else f"z{i}" for i, w in enumerate(t[:35])]
+    rows = [(1, "test", " ".join(longer)), (2, "train", " ".join(t)), (3, "test", " ".join(t[:35])), (4, "train", " ".join(other))]
+    d = spark.createDataFrame(rows, "record_id long, split string, text string")
+    got = {(x["eval_id"], x["train_id"], x["edits"]) for x in cross_split_pairs(d, "record_id", "split", ["text"]).collect()}
+    assert got == {(1, 2, 28)}
+
+
 def test_show_keys(spark):
     names = ["vutesone bottle season 1 episode 5", "[team]_Vutesone-Bottle-1x08_1080p", "Vutesone.Bottle.S01E07", "VutesoneBottle_S2E9", "VUTESONE_BOTTLE_Ep_03_final", "vutesone_bottle_clock_s01e01", "live", "", None, "s01e01"]
     got = [x["k"] for x in spark.createDataFrame([(n,) for n in names], "n string").select(show_key(F.col("n")).alias("k")).collect()]
