@@ -26,9 +26,9 @@ from subloom.llm.wordstream import CleanWords, Sequences, WordHashes, edit_dista
 RUN, SHORT = 4, 14
 #: Records of fewer words give no tiles: a longer one than SHORT can't be near them.
 TILED = 12
-#: A chunk is hot from this many classes on (a larger corpus raises it, so that the list stays below HOT_KEYS). Records
-#: with at least half of their length in other chunks are found by those; only the rest keep their hot chunks.
-HOT_ROWS, HOT_KEYS = 20_000, 50_000
+#: A chunk is hot from this many classes on (a larger corpus raises it, so that the list stays below HOT_KEYS). The tiles
+#: of a hot chunk are spread over SALTS keys, and its runs are repeated for each of them.
+HOT_ROWS, HOT_KEYS, SALTS = 20_000, 50_000, 16
 SEEN = 1_000_000
 
 
@@ -39,9 +39,9 @@ def _within(seq: Sequences, least: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return every, owner, every - seq.start[owner]
 
 
-def _marked(digest: np.ndarray, edits: np.ndarray) -> np.ndarray:
-    """Digests of short tiles, which meet for one number of edits only."""
-    return mix(digest.view(np.uint64) ^ mix(edits.astype(np.uint64) + np.uint64(1))).view(np.int64)
+def _marked(digest: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Other digests for each number: short tiles meet for one number of edits only."""
+    return mix(digest.view(np.uint64) ^ mix(number.astype(np.uint64) + np.uint64(1))).view(np.int64)
 
 
 def _tiles(seq: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -117,16 +117,23 @@ def _rows(df: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.concat_ws(" ", *[F.col(c).cast("string") for c in text_cols]).alias("text"))
 
 
-def _chunk_rows(rows: DataFrame, hot: np.ndarray | None, tiled: bool) -> DataFrame:
+def _salted(t: pd.DataFrame, is_hot: np.ndarray, tiled: bool) -> pd.DataFrame:
+    """Hot chunks as SALTS other ones: a tile has one of them by its class, a run has all."""
+    some = t[is_hot]
+    again = 1 if tiled else SALTS
+    some = some.iloc[np.repeat(np.arange(len(some)), again)]
+    salt = some["cls"].to_numpy() % SALTS if tiled else np.tile(np.arange(SALTS), len(some) // SALTS)
+    return pd.concat([t[~is_hot], some.assign(chunk=_marked(some["chunk"].to_numpy(), salt))])
+
+
+def _chunk_rows(rows: DataFrame, hot: np.ndarray, tiled: bool) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, seen = WordHashes(), set()
         for b in batches:
             seq = Sequences(b["text"].tolist(), memo)
             t = _table(seq, seq.records(), seen, tiled)
-            if hot is not None and len(hot):
-                is_hot = np.isin(t["chunk"].to_numpy(), hot)
-                cool = (t["at"] & _LEN).where(~is_hot, 0).groupby(t["cls"]).transform("sum")
-                t = t[~is_hot | (2 * cool < t["at"] // _N % (1 << 23)).to_numpy()]
+            if len(hot):
+                t = _salted(t, np.isin(t["chunk"].to_numpy(), hot), tiled)
             yield t
 
     return rows.select("text").mapInPandas(run, "chunk long, cls long, at long")

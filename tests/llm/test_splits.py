@@ -117,6 +117,27 @@ def test_pairs_of_little_overlap(spark):
     assert got == {(1, 2, 28)}
 
 
+def test_hot_chunks_stay(spark, monkeypatch):
+    """A stock context in all records, and edits in the other half alone; short stock records beside longer ones."""
+    monkeypatch.setattr(leaks, "HOT_ROWS", 5)
+    stock = [f"s{i}" for i in range(14)]
+    rows = []
+    for i in range(12):
+        own = [f"o{i}n{k}" for k in range(16)]
+        other = [f"x{i}n{k}" if k in (0, 3, 5, 8, 11, 14) else w for k, w in enumerate(own)]
+        rows += [(i, "test", " ".join(stock + own)), (100 + i, "train", " ".join(stock + other))]
+    rows += [(200 + i, "test", " ".join([*stock[:12], f"a{i}", f"b{i}"])) for i in range(8)]
+    rows += [(300 + i, "train", " ".join([*stock[:12], f"c{i}", f"d{i}", f"e{i}"])) for i in range(8)]
+    d = spark.createDataFrame(rows, "record_id long, split string, text string")
+    left, right = (d.filter(f"split {op} 'train'").select("text") for op in ("<>", "="))
+    assert len(leaks.hot_chunks(left, right)) > 3
+    got = {(x["eval_id"], x["train_id"]) for x in cross_split_pairs(d, "record_id", "split", ["text"]).collect()}
+    split = {i: t.split() for i, _, t in rows}
+    near = lambda p, q: 5 * plain_distance(p, q) <= max(len(p), len(q))
+    want = {(x[0], y[0]) for x, y in product(rows, rows) if x[1] == "test" and y[1] == "train" and near(split[x[0]], split[y[0]])}
+    assert got == want and len(want) == 76
+
+
 def test_show_keys(spark):
     names = ["vutesone bottle season 1 episode 5", "[team]_Vutesone-Bottle-1x08_1080p", "Vutesone.Bottle.S01E07", "VutesoneBottle_S2E9", "VUTESONE_BOTTLE_Ep_03_final", "vutesone_bottle_clock_s01e01", "live", "", None, "s01e01"]
     got = [x["k"] for x in spark.createDataFrame([(n,) for n in names], "n string").select(show_key(F.col("n")).alias("k")).collect()]
