@@ -5,8 +5,8 @@ words. A training record of n words is cut into tiles of RUN words that don't ov
 run of RUN words. An edit touches one tile at most, so more than d tiles are enough for one to stand untouched in the
 other record, at most d places away. A record has n // RUN tiles, which is more than d unless the longer has so many
 words more that d = n // RUN; for those pairs alone some tiles are one word shorter, which gives one tile more, and their
-keys hold d. Digests are joined across splits, and pairs that share fewer tiles than d edits must leave are dropped; all
-others get an exact edit distance. Records of up to SHORT words meet by keys with words left out instead. Equal records
+keys hold d. Digests are joined across splits. Pairs that can't be within d edits are dropped by bounds on the words before
+and after a tile, on the parities of words and on the number of tiles shared; all others get an exact edit distance. Records of up to SHORT words meet by keys with words left out instead. Equal records
 are one class throughout (the class is the hash of the whole sequence), so copies never multiply pairs before the end.
 """
 
@@ -81,12 +81,23 @@ def _runs(seq: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 #: Position, words of the record and length of a chunk share one number.
 _POS, _N, _LEN = 1 << 40, 1 << 17, (1 << 17) - 1
+#: Bits of a digest that are kept: a shared one only proposes a pair, and shorter ones make a smaller shuffle.
+_KEY = (1 << 40) - 1
 
 
 def _pack(pos: np.ndarray, n: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.minimum(pos, (1 << 23) - 1) * _POS + np.minimum(n, (1 << 23) - 1) * _N + np.minimum(length, _LEN)
 
 
+def _parities(seq: Sequences) -> np.ndarray:
+    """For each of 64 kinds of words whether a record has an odd number of them: a replaced word turns two at most, others one."""
+    out = np.zeros(len(seq.n), np.uint64)
+    some = np.flatnonzero(seq.n)
+    if len(some):
+        out[some] = np.bitwise_xor.reduceat(np.uint64(1) << (seq.words & np.uint64(63)), seq.start[some])
+    return out.view(np.int64)
+
+
 def _short_keys(words: np.ndarray) -> set[int]:
     """Digests of a short record without at most as many words as it may differ by."""
     n = len(words)
@@ -96,7 +107,7 @@ def _short_keys(words: np.ndarray) -> set[int]:
 
 
 def _table(seq: Sequences, classes: np.ndarray, seen: set[int], tiled: bool) -> pd.DataFrame:
-    """chunk, cls, at (packed) of the records whose class isn't among those seen."""
+    """cls, parity, at (packed), chunk of the records whose class isn't among those seen."""
     fresh = np.zeros(len(classes), bool)
     for i, c in enumerate(classes.tolist()):
         if c not in seen and seq.n[i]:
@@ -107,8 +118,9 @@ def _table(seq: Sequences, classes: np.ndarray, seen: set[int], tiled: bool) ->
     owner, digest, pos, length = _tiles(seq) if tiled else _runs(seq)
     keep = fresh[owner]
     owner = owner[keep]
-    out = pd.DataFrame({"chunk": digest[keep], "cls": classes[owner], "at": _pack(pos[keep], seq.n[owner], length[keep])})
-    rows = [(k, int(classes[i]), n * _N + n) for i in np.flatnonzero(fresh & (seq.n <= SHORT)) for n in [int(seq.n[i])] for k in _short_keys(seq.words[seq.start[i] : seq.end[i]])]
+    parity = _parities(seq)
+    out = pd.DataFrame({"cls": classes[owner], "parity": parity[owner], "at": _pack(pos[keep], seq.n[owner], length[keep]), "chunk": digest[keep] & _KEY})
+    rows = [(int(classes[i]), int(parity[i]), n * (_POS + _N + 1), k & _KEY) for i in np.flatnonzero(fresh & (seq.n <= SHORT)) for n in [int(seq.n[i])] for k in _short_keys(seq.words[seq.start[i] : seq.end[i]])]
     return pd.concat([out, pd.DataFrame(rows, columns=list(out.columns), dtype=np.int64)]) if rows else out
 
 
@@ -123,7 +135,7 @@ def _salted(t: pd.DataFrame, is_hot: np.ndarray, tiled: bool) -> pd.DataFrame:
     again = 1 if tiled else SALTS
     some = some.iloc[np.repeat(np.arange(len(some)), again)]
     salt = some["cls"].to_numpy() % SALTS if tiled else np.tile(np.arange(SALTS), len(some) // SALTS)
-    return pd.concat([t[~is_hot], some.assign(chunk=_marked(some["chunk"].to_numpy(), salt))])
+    return pd.concat([t[~is_hot], some.assign(chunk=_marked(some["chunk"].to_numpy(), salt) & _KEY)])
 
 
 def _chunk_rows(rows: DataFrame, hot: np.ndarray, tiled: bool) -> DataFrame:
@@ -136,7 +148,7 @@ def _chunk_rows(rows: DataFrame, hot: np.ndarray, tiled: bool) -> DataFrame:
                 t = _salted(t, np.isin(t["chunk"].to_numpy(), hot), tiled)
             yield t
 
-    return rows.select("text").mapInPandas(run, "chunk long, cls long, at long")
+    return rows.select("text").mapInPandas(run, "cls long, parity long, at long, chunk long")
 
 
 def hot_chunks(left: DataFrame, right: DataFrame) -> np.ndarray:
@@ -207,10 +219,14 @@ def class_links(left: DataFrame, right: DataFrame) -> DataFrame:
     """a, b, overlap, edits: classes of left and right records that are the same or differ by a fifth of the words at most."""
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_chunks(left, right)
-    side = lambda rows, k: _chunk_rows(rows, hot, k == "b").repartition(n, "chunk").dropDuplicates(["chunk", "cls", "at"]).select("chunk", F.col("cls").alias(k), F.col("at").alias(f"{k}_at"))
+    side = lambda rows, k: _chunk_rows(rows, hot, k == "b").repartition(n, "chunk").distinct().select(F.col("cls").alias(k), F.col("parity").alias(f"{k}_parity"), F.col("at").alias(f"{k}_at"), "chunk")
     pos, words, length = (lambda k: F.shiftright(f"{k}_at", 40)), (lambda k: F.shiftright(f"{k}_at", 17).bitwiseAND((1 << 23) - 1)), (lambda k: F.col(f"{k}_at").bitwiseAND(_LEN))
     longer = F.greatest(words("a"), words("b"))
-    near = (5 * F.abs(pos("a") - pos("b")) <= longer) & (5 * F.abs(words("a") - words("b")) <= longer)
+    # What stands before and after an untouched tile differs by its number of words at least; each edit turns two parities at
+    # most, each of those that change the number of words one.
+    off, more = F.abs(pos("a") - pos("b")) + F.abs(words("a") - pos("a") - words("b") + pos("b")), F.abs(words("a") - words("b"))
+    turned = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity")))
+    near = (5 * off <= longer) & (turned <= 2 * F.floor(longer / 5) - more)
     shared = side(left, "a").join(side(right, "b"), "chunk").filter(near)
     # Each edit spoils one tile at most, so at least n / RUN - d of the b record's n / RUN whole tiles are shared.
     spared = F.floor(words("b") / RUN) - F.floor(longer / 5)

@@ -1,5 +1,5 @@
 import random
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 import pytest
@@ -92,6 +92,33 @@ def test_pairs_at_one_fifth_share_a_key(n):
             assert met(a, b) and met(b, a)
 
 
+@pytest.mark.parametrize("n", range(10, 31))
+def test_replaced_words_at_every_place(n):
+    """Every way to replace a fifth of n words (a sample of them above 20 words)."""
+    r = random.Random(n)
+    places = list(combinations(range(n), n // 5)) if n <= 20 else [r.sample(range(n), n // 5) for _ in range(2000)]
+    a = [f"w{i}" for i in range(n)]
+    memo, texts = WordHashes(), [" ".join(f"x{i}" if i in at else w for i, w in enumerate(a)) for at in places]
+    one, many = Sequences([" ".join(a)], memo), Sequences(texts, memo)
+    for tiled in (False, True):
+        keys, other = (leaks._table(s, s.records(), set(), k) for s, k in ((one, tiled), (many, not tiled)))
+        both = keys.merge(other, on="chunk")
+        off = (both["at_x"] // leaks._POS - both["at_y"] // leaks._POS).abs()
+        turned = [int(x).bit_count() for x in (both["parity_x"] ^ both["parity_y"]).to_numpy().view(np.uint64)]
+        assert both["cls_y"][5 * off <= n].nunique() == len(set(texts)) and max(turned) <= 2 * (n // 5)
+
+
+def test_fifteen_words(spark):
+    """Runs of three words are all that stays of fifteen with three replaced."""
+    a = [f"w{i}" for i in range(15)]
+    b = [f"x{i}" if i in (3, 7, 11) else w for i, w in enumerate(a)]
+    short = [w for i, w in enumerate(a) if i not in (3, 7, 11)]
+    rows = [(1, "test", " ".join(a)), (2, "train", " ".join(b)), (3, "train", " ".join(short)), (4, "test", " ".join(short)), (5, "train", " ".join(a))]
+    d = spark.createDataFrame(rows, "record_id long, split string, text string")
+    got = {(x["eval_id"], x["train_id"]) for x in cross_split_pairs(d, "record_id", "split", ["text"]).collect()}
+    assert got == {(1, 2), (1, 3), (1, 5), (4, 2), (4, 3), (4, 5)}
+
+
 def test_long_records_at_one_fifth(spark):
     """Every fifth word is another one: no stretch of more than four words is the same."""
     r = random.Random(4)
