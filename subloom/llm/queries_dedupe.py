@@ -26,7 +26,13 @@ def p7_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.filter("record_id = first_id").select("record_id", "n_copies").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p7_copies": p7_copies}
+def p7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collapsed corpus: one record for each distinct line, with the number of its records, 1 where it stands once."""
+    out = copies(_texts(spark, sf_dir), "record_id", "text", min_length=1, single=True)
+    return out.filter("record_id = first_id").select("record_id", "n_copies").distinct()
+
+
+QUERIES = {"p7_found": p7_found, "p7_copies": p7_copies, "p7_lines": p7_lines}
 
 _KEYS = r"""
 WITH texts AS (
@@ -41,4 +47,5 @@ WITH texts AS (
 SQL = {
     "p7_found": _KEYS + " SELECT first_id, record_id FROM firsts WHERE record_id <> first_id AND length(k) >= 20",
     "p7_copies": _KEYS + " SELECT record_id, n AS n_copies FROM firsts WHERE record_id = first_id AND n > 1",
+    "p7_lines": _KEYS + " SELECT record_id, n AS n_copies FROM firsts WHERE record_id = first_id",
 }

@@ -143,8 +143,8 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.drop(columns=["text", "first_text"]).assign(other=pd.Series(other, index=b.index, dtype=object))
 
 
-def copies(df: DataFrame, id_col: str, text_col: str, min_length: int = 1) -> DataFrame:
-    """record_id, first_id, n_copies of every row that has another with the same text.
+def copies(df: DataFrame, id_col: str, text_col: str, min_length: int = 1, single: bool = False) -> DataFrame:
+    """record_id, first_id, n_copies of every row that has another with the same text; with `single`, of every row.
 
     Texts are the same when their letters and digits are, in order and without case. Texts with fewer than `min_length`
     letters and digits, and null texts, are left out, so an empty text never counts. Repeated ids count as rows of
@@ -152,7 +152,16 @@ def copies(df: DataFrame, id_col: str, text_col: str, min_length: int = 1) -> Da
     that half of all rows share is counted by partial aggregation and compared in salted pieces.
     """
     hashed = stored(with_hashes(df, id_col, text_col).filter(F.col("n") >= min_length))
-    groups = stored(hashed.groupBy(*KEYS).agg(F.min("record_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")).filter("n_copies > 1"))
+    counted = hashed.groupBy(*KEYS).agg(F.min("record_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"))
+    counted = stored(counted if single else counted.filter("n_copies > 1"))
+    alone = counted.filter("n_copies = 1").select(F.col("first_id").alias("record_id"), "first_id", "n_copies")
+    groups = counted.filter("n_copies > 1")
+    out = _repeated(hashed, groups, single)
+    return out.unionByName(alone) if single else out
+
+
+def _repeated(hashed: DataFrame, groups: DataFrame, single: bool) -> DataFrame:
+    """record_id, first_id, n_copies of the rows of groups with equal hashes; rows alone in their text only with `single`."""
     hot = hot_keys(groups, KEYS, "n_copies", hashed.count())
     at_first = groups.withColumnRenamed("first_id", "record_id").join(hashed, ["record_id", *KEYS])
     firsts = at_first.groupBy(*KEYS, F.col("record_id").alias("first_id"), "n_copies").agg(F.min("text").alias("first_text"))
@@ -169,7 +178,7 @@ def copies(df: DataFrame, id_col: str, text_col: str, min_length: int = 1) -> Da
     sound = apart.filter("other IS NULL").select(*KEYS, F.col("own_n").alias("sound_n"))
     fixed = keyed.join(sound, KEYS, "left")
     n = F.coalesce("own_n", "sound_n")
-    return fixed.select("record_id", F.coalesce("own_first", "first_id").alias("first_id"), n.alias("n_copies")).filter("n_copies > 1")
+    return fixed.select("record_id", F.coalesce("own_first", "first_id").alias("first_id"), n.alias("n_copies")).filter(F.col("n_copies") > (0 if single else 1))
 
 
 def readable_texts(df: DataFrame, id_col: str, payload_col: str) -> DataFrame:

@@ -37,6 +37,22 @@ def test_copies(spark, least):
     assert copies(d.limit(0), "record_id", "text").count() == 0
 
 
+def test_lines_that_stand_once(spark, monkeypatch):
+    rows = [(1, "abc"), (2, "a b c"), (3, "xyz"), (4, "x-yz"), (5, "once"), (6, None), (7, "..."), (8, "mno")]
+    d = spark.createDataFrame(rows, "record_id long, text string")
+    want = [(1, 1, 2), (2, 1, 2), (3, 3, 2), (4, 3, 2), (5, 5, 1), (8, 8, 1)]
+    assert sorted(tuple(x) for x in copies(d, "record_id", "text", single=True).collect()) == want
+
+    class Weak(Hasher):
+        def __call__(self, texts):
+            a, b, n = super().__call__(texts)
+            return a * 0, b * 0, n
+
+    monkeypatch.setattr(textdupes, "Hasher", Weak)
+    assert sorted(tuple(x) for x in copies(d, "record_id", "text", single=True).collect()) == want
+    assert copies(d.limit(0), "record_id", "text", single=True).count() == 0
+
+
 def test_hot_group(spark, monkeypatch):
     from subloom.operators import skew
 
