@@ -10,7 +10,7 @@ from subloom.llm.encoding import letter_pairs, repaired
 from subloom.llm.language import MIN_EVENTS, MIN_WORDS, document_stretches, event_languages, file_runs, fit, label_column, labels
 from subloom.llm.reading import reading_levels
 from subloom.llm.turns import turn_starts, turns
-from subloom.session import read_table
+from subloom.session import read_table, stored
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -78,28 +78,44 @@ def p3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(read_table(spark, sf_dir, "transcripts"), read_table(spark, sf_dir, "cast_members"))
 
 
-def _english(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that are in English and, by stretches of MIN_WORDS words, in no other language."""
+def _stretches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The documents, and their stretches in one language."""
     docs = _labelled(spark, sf_dir)[0]
-    runs = document_stretches(docs, "doc_id", "text", fit(docs, "text", "label")).filter(F.col("n_words") >= MIN_WORDS)
-    told = runs.groupBy("doc_id").agg(F.min("language").alias("first"), F.max("language").alias("last")).filter("first = 'en' AND last = 'en'")
-    return docs.join(told.select("doc_id"), "doc_id", "left_semi")
+    return docs, document_stretches(docs, "doc_id", "text", fit(docs, "text", "label"))
 
 
-def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reading level and band of each English document of at least 40 words."""
-    return reading_levels(_english(spark, sf_dir), "doc_id", "text", read_table(spark, sf_dir, "reading_labels"), min_words=40)
+def _english(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """Documents that are in English and, by stretches of MIN_WORDS words, in no other language."""
+    told = runs.filter(F.col("n_words") >= MIN_WORDS).groupBy("doc_id").agg(F.min("language").alias("first"), F.max("language").alias("last")).filter("first = 'en' AND last = 'en'")
+    return docs.join(told.select("doc_id"), "doc_id", "left_semi")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reading band of each document of at least 40 words that is in English and no other language."""
-    return p10_levels(spark, sf_dir).select("doc_id", "reading_band").distinct()
+    out = reading_levels(_english(*_stretches(spark, sf_dir)), "doc_id", "text", read_table(spark, sf_dir, "reading_labels"), min_words=40)
+    return out.select("doc_id", "reading_band").distinct()
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading level and band of every document with a text, as p10_found has them, and its language.
+
+    The language is that of its stretches of MIN_WORDS words or, where there are none, of all its stretches: "mixed" for
+    several, null without any.
+    """
+    docs, runs = _stretches(spark, sf_dir)
+    runs = stored(runs.select("doc_id", "language", "n_words"))
+    levels = reading_levels(_english(docs, runs), "doc_id", "text", read_table(spark, sf_dir, "reading_labels"), min_words=40, every=docs)
+    long = F.col("n_words") >= MIN_WORDS
+    one = lambda f: F.coalesce(f(F.when(long, F.col("language"))), f("language"))
+    told = runs.groupBy("doc_id").agg(one(F.min).alias("first"), one(F.max).alias("last"))
+    told = told.select("doc_id", F.when(F.col("first") == F.col("last"), F.col("first")).otherwise("mixed").alias("language"))
+    return levels.join(told, "doc_id", "left")
 
 
 def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, words and mean level of each source and band: the corpus by how demanding its text is."""
+    """Documents, words and mean level of each source, language and band: the corpus by how demanding its text is."""
     sources = read_table(spark, sf_dir, "documents").select("doc_id", "source")
-    out = p10_levels(spark, sf_dir).join(sources, "doc_id").groupBy("source", "reading_band")
+    out = p10_levels(spark, sf_dir).join(sources, "doc_id").groupBy("source", "language", "reading_band")
     return out.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_words").alias("n_words"), F.avg("level").alias("mean_level"))
 
 

@@ -134,9 +134,12 @@ def cuts_between(level: np.ndarray, band: np.ndarray) -> list[float]:
     return list(np.maximum.accumulate(cuts))
 
 
-def reading_levels(docs: DataFrame, id_col: str, text_col: str, rated: DataFrame, min_words: int = 1) -> DataFrame:
+def reading_levels(docs: DataFrame, id_col: str, text_col: str, rated: DataFrame, min_words: int = 1, every: DataFrame | None = None) -> DataFrame:
     """id_col, n_words, level, reading_band of each document with at least min_words words (split at white space).
 
+    every: documents to be rated instead, of any number of words, by the model fitted to those; words that it doesn't
+    know are of middle difficulty (0), and a text without words has level 0.
+
     rated: id_col and reading_band, of which RATED documents are used (by hash of the id; several ratings are averaged).
     Without ratings, words of long texts start as the difficult ones, and the cuts are one spread apart. Null
     texts have no row. Repeated rows count like any other; an empty table gives an empty one; further columns are
@@ -179,4 +182,5 @@ def reading_levels(docs: DataFrame, id_col: str, text_col: str, rated: DataFrame
     chosen = lists.filter(F.col("id").isin(list(band))) if len(band) < 200 else lists.join(lists.sparkSession.createDataFrame([(k,) for k in band], "id long"), "id", "left_semi")
     seen = [(r[0], band[r[1]]) for r in chosen.mapInPandas(rate(None), schema).select("level", id_col).distinct().collect()] if band else []
     cuts = cuts_between(np.array([x[0] for x in seen]), np.array([x[1] for x in seen])) if seen else [-1.0, 0.0, 1.0]
-    return lists.mapInPandas(rate(cuts), schema)
+    out = lists if every is None else word_lists(every, id_col, text_col, 0)
+    return out.mapInPandas(rate(cuts), schema)

@@ -28,3 +28,15 @@ def test_query(spark, name):
         rel = con.execute(sql)
         names = [d[0] for d in rel.description]
         assert Counter(tuple(r) for r in rows) == Counter(tuple(r[names.index(c)] for c in df.columns) for r in rel.fetchall())
+
+
+def test_every_document_has_a_level(spark):
+    read = lambda n: spark.read.parquet(f"{DIR}/{n}.parquet")
+    levels = {r["doc_id"]: r for r in catalogue.queries()["p10_levels"](spark, DIR).collect()}
+    texts = {r["doc_id"]: r["text"] for r in read("documents").filter("text IS NOT NULL").collect()}
+    assert levels.keys() == texts.keys() and all(r["reading_band"] in (1, 2, 3, 4) for r in levels.values())
+    assert all(r["level"] == 0 and r["language"] is None for r in levels.values() if not texts[r["doc_id"]].strip())
+    found = catalogue.queries()["p10_found"](spark, DIR).collect()
+    assert found and all((levels[r["doc_id"]]["reading_band"], levels[r["doc_id"]]["language"]) == (r["reading_band"], "en") for r in found)
+    assert {r["language"] for r in levels.values()} > {"en", "mn"} and min(r["n_words"] for r in levels.values()) < 40
+    assert sum(r["n_docs"] for r in catalogue.queries()["p10_profile"](spark, DIR).collect()) == len(texts)
