@@ -146,7 +146,7 @@ class Repairer:
         if "&" in word or "\\" in word:
             if _ESCAPED.search(word):
                 yield "unescape", html.unescape(re.sub(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})", lambda m: chr(int(m[1] or m[2], 16)), word))
-        if word.isascii():
+        if word.isascii() and "\0" not in word:
             return
         if "\0" in word or any(ord(c) > 0x7FF for c in word):
             for a, b in (("utf-16-le", "utf-16-be"), ("latin-1", "utf-16-le"), ("latin-1", "utf-16-be")):
@@ -215,17 +215,25 @@ class Repairer:
         best, price, way = self.search(word)
         if way and own - price >= GAIN and price <= 0.55 * own and price <= 0.5 * len(best) + 2:
             return best, True, way
-        bad = any(c == "�" or "\x80" <= c <= "\x9f" for c in word)
+        bad = any(c in "�\0" or "\x80" <= c <= "\x9f" for c in word)
         return word, bad, ""
 
     def text(self, text: str) -> tuple[str, bool, str]:
         """The text as it was, whether any of it is garbled, and the ways back."""
-        if text.isascii() and not _ESCAPED.search(text):
+        if text.isascii() and "\0" not in text and not _ESCAPED.search(text):
             return text, False, ""
+        if "\0" in text:  # UTF-16 read byte by byte: words alone may begin inside a character
+            for e in ("utf-16-le", "utf-16-be"):
+                try:
+                    whole = text.encode("latin-1").decode(e)
+                except (UnicodeEncodeError, UnicodeDecodeError):
+                    continue
+                if "\0" not in whole and 2 * sum(c < "\x80" for c in whole) >= len(whole):
+                    return whole, True, f"latin-1>{e}"
         parts, ways = _PARTS.split(text), []
         garbled, left, found = False, [], []
         for i in range(0, len(parts), 2):
-            if parts[i] and (not parts[i].isascii() or _ESCAPED.search(parts[i])):
+            if parts[i] and (not parts[i].isascii() or "\0" in parts[i] or _ESCAPED.search(parts[i])):
                 part, bad, way = self.word(parts[i])
                 garbled = garbled or bad
                 if way:
@@ -299,5 +307,5 @@ def repaired(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield out[keep]
 
     rows = df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
-    rows = rows.filter(F.col("text").rlike("[^\\x00-\\x7F]|&|\\\\[ux]"))
+    rows = rows.filter(F.col("text").rlike("[^\\x01-\\x7F]|&|\\\\[ux]"))
     return rows.mapInPandas(run, f"`{id_col}` long, text string, restored string, way string")

@@ -52,6 +52,14 @@ def test_repaired_frame(spark):
     assert letter_pairs(spark.createDataFrame([("аб аб",)], "text string"), "text").sum() == 2
 
 
+def test_letters_with_nul(spark):
+    """UTF-16 of ASCII letters read byte by byte: all of it is ASCII."""
+    texts = [t.encode(e).decode("latin-1") for t in ("Hello there.", "Yes") for e in ("utf-16-le", "utf-16-be")]
+    d = spark.createDataFrame([*enumerate(texts), (4, "{\\an8}H\0i\0"), (5, "fine"), (6, "a\0b c")], "event_id long, text string")
+    got = {x["event_id"]: (x["restored"], x["way"]) for x in repaired(d, "event_id", "text").collect()}
+    assert {k: v[0] for k, v in got.items() if k < 4} == {0: "Hello there.", 1: "Hello there.", 2: "Yes", 3: "Yes"} and got.keys() == {0, 1, 2, 3, 4, 6}
+
+
 SENTENCES = {
     "en": ["The old man opened the window before the rain.", "Somebody carried the basket to the market.", "We never saw that ship again.", "I think the garden was empty."],
     "de": ["Der alte Mann hat gestern das Fenster geöffnet.", "Jemand wollte wieder den Schlüssel suchen.", "Wir haben das Schiff nie gesehen.", "Ich glaube der Garten war leer."],
