@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subloom.llm.wordstream import CleanWords, Sequences, WordHashes, edit_distance, hash64, mix
+from subloom.operators.skew import hot_keys, salted_join
+from subloom.session import stored
 
 #: Words of a tile, and the words up to which records meet by keys with words left out.
 RUN, SHORT = 4, 14
@@ -30,6 +32,8 @@ TILED = 12
 #: of a hot chunk are spread over SALTS keys, and its runs are repeated for each of them.
 HOT_ROWS, HOT_KEYS, SALTS = 20_000, 50_000, 16
 SEEN = 1_000_000
+#: Bits of the filter that spares the texts of records in no pair a shuffle, and the bits of a class for each of its places.
+BITS, _SHIFT = 1 << 26, 26
 
 
 def _within(seq: Sequences, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,14 +83,15 @@ def _runs(seq: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return np.concatenate([owner[whole], owner[cut]]), digest, np.concatenate([pos[whole], pos[cut]]), length
 
 
-#: Position, words of the record and length of a chunk share one number.
-_POS, _N, _LEN = 1 << 40, 1 << 17, (1 << 17) - 1
+#: Position and words of the record (each below 2^31, as a text has fewer characters) and a bit for tiles one word shorter
+#: share one number. Keys of short records stand at the position after their last word.
+_POS, _N = 1 << 32, 1 << 1
 #: Bits of a digest that are kept: a shared one only proposes a pair, and shorter ones make a smaller shuffle.
 _KEY = (1 << 40) - 1
 
 
 def _pack(pos: np.ndarray, n: np.ndarray, length: np.ndarray) -> np.ndarray:
-    return np.minimum(pos, (1 << 23) - 1) * _POS + np.minimum(n, (1 << 23) - 1) * _N + np.minimum(length, _LEN)
+    return pos * _POS + n * _N + (length < RUN)
 
 
 def _parities(seq: Sequences) -> np.ndarray:
@@ -120,7 +125,7 @@ def _table(seq: Sequences, classes: np.ndarray, seen: set[int], tiled: bool) ->
     owner = owner[keep]
     parity = _parities(seq)
     out = pd.DataFrame({"cls": classes[owner], "parity": parity[owner], "at": _pack(pos[keep], seq.n[owner], length[keep]), "chunk": digest[keep] & _KEY})
-    rows = [(int(classes[i]), int(parity[i]), n * (_POS + _N + 1), k & _KEY) for i in np.flatnonzero(fresh & (seq.n <= SHORT)) for n in [int(seq.n[i])] for k in _short_keys(seq.words[seq.start[i] : seq.end[i]])]
+    rows = [(int(classes[i]), int(parity[i]), n * (_POS + _N), k & _KEY) for i in np.flatnonzero(fresh & (seq.n <= SHORT)) for n in [int(seq.n[i])] for k in _short_keys(seq.words[seq.start[i] : seq.end[i]])]
     return pd.concat([out, pd.DataFrame(rows, columns=list(out.columns), dtype=np.int64)]) if rows else out
 
 
@@ -175,32 +180,45 @@ def hot_chunks(left: DataFrame, right: DataFrame) -> np.ndarray:
     return np.array(sorted(r["chunk"] for r in kept if r["n"] >= limit), np.int64)
 
 
-def _texts(rows: DataFrame, name: str) -> DataFrame:
-    """Class and words, once for each class that a partition holds."""
+def _kept_bits(classes: DataFrame, k: str) -> np.ndarray:
+    """A Bloom filter of BITS bits over the classes in a column: its size is fixed, a class in it is never missed."""
+    places = F.explode(F.array(*[F.shiftright(k, i * _SHIFT).bitwiseAND(BITS - 1) for i in (0, 1)])).alias("p")
+    told = classes.select(places).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
+    bits = np.zeros(BITS // 64, np.int64)
+    for r in told.collect():  # one number for each 64 bits at most
+        bits[r["w"]] = r["b"]
+    return bits.view(np.uint64)
+
+
+def _has(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    out = np.ones(len(classes), bool)
+    for i in (0, 1):
+        p = (classes >> (i * _SHIFT)) & (BITS - 1)
+        out &= (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out
+
+
+def _members(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """id, class and words of the records whose class may be in a pair; words once for each class that a partition holds."""
+    bits = rows.sparkSession.sparkContext.broadcast(_kept_bits(pairs, name))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, seen, words = WordHashes(), set(), CleanWords()
+        memo, seen, clean = WordHashes(), set(), CleanWords()
         for b in batches:
             texts = b["text"].tolist()
+            classes = Sequences(texts, memo).records()
             out = []
-            for c, t in zip(Sequences(texts, memo).records().tolist(), texts, strict=True):
-                if c not in seen:
-                    seen.add(c)
-                    out.append((c, " ".join(filter(None, map(words.__getitem__, t.split())))))
+            for i in np.flatnonzero(_has(bits.value, classes)).tolist():
+                c = int(classes[i])
+                fresh = c not in seen
+                seen.add(c)
+                out.append((b["id"].iat[i], c, " ".join(filter(None, map(clean.__getitem__, texts[i].split()))) if fresh else None))
             if len(seen) > SEEN:
                 seen.clear()
-            yield pd.DataFrame(out, columns=["cls", "words"])
-
-    return rows.select("text").mapInPandas(run, "cls long, words string").select(F.col("cls").alias(name), F.col("words").alias(f"{name}_words"))
-
-
-def _members(rows: DataFrame, name: str) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHashes()
-        for b in batches:
-            yield pd.DataFrame({"id": b["id"], "cls": Sequences(b["text"].tolist(), memo).records()})
+            yield pd.DataFrame(out, columns=["id", "cls", "words"])
 
-    return rows.mapInPandas(run, "id long, cls long").select(F.col("id").alias(f"{name}_id"), F.col("cls").alias(name))
+    found = rows.mapInPandas(run, "id long, cls long, words string")
+    return stored(found.select(F.col("id").alias(f"{name}_id"), F.col("cls").alias(name), F.col("words").alias(f"{name}_words")))
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,12 +233,12 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[out["edits"] >= 0]
 
 
-def class_links(left: DataFrame, right: DataFrame) -> DataFrame:
-    """a, b, overlap, edits: classes of left and right records that are the same or differ by a fifth of the words at most."""
+def near_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """a, b, overlap: classes of left and right records that share a key and that no bound keeps apart."""
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_chunks(left, right)
     side = lambda rows, k: _chunk_rows(rows, hot, k == "b").repartition(n, "chunk").distinct().select(F.col("cls").alias(k), F.col("parity").alias(f"{k}_parity"), F.col("at").alias(f"{k}_at"), "chunk")
-    pos, words, length = (lambda k: F.shiftright(f"{k}_at", 40)), (lambda k: F.shiftright(f"{k}_at", 17).bitwiseAND((1 << 23) - 1)), (lambda k: F.col(f"{k}_at").bitwiseAND(_LEN))
+    pos, words = (lambda k: F.shiftright(f"{k}_at", 32)), (lambda k: F.shiftright(f"{k}_at", 1).bitwiseAND((1 << 31) - 1))
     longer = F.greatest(words("a"), words("b"))
     # What stands before and after an untouched tile differs by its number of words at least; each edit turns two parities at
     # most, each of those that change the number of words one.
@@ -230,21 +248,44 @@ def class_links(left: DataFrame, right: DataFrame) -> DataFrame:
     shared = side(left, "a").join(side(right, "b"), "chunk").filter(near)
     # Each edit spoils one tile at most, so at least n / RUN - d of the b record's n / RUN whole tiles are shared.
     spared = F.floor(words("b") / RUN) - F.floor(longer / 5)
-    pairs = shared.groupBy("a", "b").agg(F.sum(F.least(length("a"), length("b"))).alias("shared"), F.max(longer).alias("of"), F.count(F.lit(1)).alias("n"), F.max(spared).alias("least"))
-    pairs = pairs.filter((F.col("n") >= F.col("least")) | (F.col("of") <= SHORT)).select("a", "b", F.least(F.lit(1.0), F.col("shared") / F.col("of")).alias("overlap"))
-    texts = lambda rows, k: _texts(rows, k).repartition(n, k).dropDuplicates([k])
-    both = pairs.join(texts(left, "a"), "a").join(texts(right, "b"), "b")
-    return both.select("a", "b", "overlap", "a_words", "b_words").mapInPandas(_verify, "a long, b long, overlap double, edits int")
+    length = F.when(pos("a") == words("a"), F.least(words("a"), words("b"))).otherwise(RUN - F.col("a_at").bitwiseAND(1))
+    pairs = shared.groupBy("a", "b").agg(F.sum(length).alias("shared"), F.max(longer).alias("of"), F.count(F.lit(1)).alias("n"), F.max(spared).alias("least"))
+    return pairs.filter((F.col("n") >= F.col("least")) | (F.col("of") <= SHORT)).select("a", "b", F.least(F.lit(1.0), F.col("shared") / F.col("of")).alias("overlap"))
 
 
 def cross_split_pairs(df: DataFrame, id_col: str, split_col: str, text_cols: list[str], train: str = "train") -> DataFrame:
     """eval_id, train_id, overlap, edits: each evaluation record with each train record that it repeats or nearly repeats.
 
-    Words split at white space; nulls are empty; records without words match nothing. Rows with a null split are left
-    out. Repeated rows pair like any other; an empty table gives an empty one; further columns are dropped.
+    overlap is the share of the longer record's words in shared keys. Words split at white space; nulls are empty; records
+    without words match nothing. Rows with a null split are left out. Repeated rows pair like any other; an empty table
+    gives an empty one; further columns are dropped.
     """
+    links, left, right = class_links(df, id_col, split_col, text_cols, train)
+    out = links.join(left.select("a_id", "a"), "a").join(right.select("b_id", "b"), "b")
+    return out.select(F.col("a_id").alias("eval_id"), F.col("b_id").alias("train_id"), "overlap", "edits")
+
+
+def class_links(df: DataFrame, id_col: str, split_col: str, text_cols: list[str], train: str = "train") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """a, b, overlap, edits of the classes of evaluation and train records that are the same or differ by a fifth of the
+    words at most; and the members of the classes (a_id, a and b_id, b)."""
     left = _rows(df.filter(F.col(split_col) != train), id_col, text_cols)
     right = _rows(df.filter(F.col(split_col) == train), id_col, text_cols)
-    links = class_links(left, right)
-    out = links.join(_members(left, "a"), "a").join(_members(right, "b"), "b")
-    return out.select(F.col("a_id").alias("eval_id"), F.col("b_id").alias("train_id"), "overlap", "edits")
+    pairs = stored(near_pairs(left, right))
+    members = {k: _members(rows, pairs, k) for k, rows in (("a", left), ("b", right))}
+    texts = lambda k: members[k].filter(F.col(f"{k}_words").isNotNull()).select(k, f"{k}_words").dropDuplicates([k])
+    both = pairs.join(texts("a"), "a").join(texts("b"), "b")
+    links = both.select("a", "b", "overlap", "a_words", "b_words").mapInPandas(_verify, "a long, b long, overlap double, edits int")
+    return links, members["a"], members["b"]
+
+
+def leaks_per_record(df: DataFrame, id_col: str, split_col: str, text_cols: list[str], train: str = "train") -> DataFrame:
+    """eval_id, n_pairs, n_exact of each evaluation record with partners in train; the pairs themselves are never made.
+
+    Partners are counted by class: a link counts as often as its train class has records.
+    """
+    links, left, right = class_links(df, id_col, split_col, text_cols, train)
+    sizes = right.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    each = stored(links.join(sizes, "b").groupBy("a").agg(F.sum("n").alias("n_pairs"), F.sum(F.when(F.col("edits") == 0, F.col("n")).otherwise(0)).alias("n_exact")))
+    held = left.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    out = salted_join(left.select("a_id", "a"), each, ["a"], hot_keys(held, ["a"], "n", left.count()), "a_id")
+    return out.select(F.col("a_id").alias("eval_id"), "n_pairs", "n_exact")

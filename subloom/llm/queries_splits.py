@@ -6,30 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subloom.llm.groups import grouped_splits, related, related_pairs
-from subloom.llm.leaks import cross_split_pairs
+from subloom.llm.leaks import cross_split_pairs, leaks_per_record
 from subloom.session import read_table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 TEXTS = ["context_before", "text", "context_after"]
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = read_table(spark, sf_dir, "split_records").select("record_id", "split", *TEXTS)
-    return cross_split_pairs(t, "record_id", "split", TEXTS)
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "split_records").select("record_id", "split", *TEXTS)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a train record and a validation or test record that are the same or differ by a fifth at most."""
-    out = _pairs(spark, sf_dir)
+    out = cross_split_pairs(_records(spark, sf_dir), "record_id", "split", TEXTS)
     return out.select(F.least("eval_id", "train_id").alias("id_a"), F.greatest("eval_id", "train_id").alias("id_b")).distinct()
 
 
 def p5_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of pairs, exact pairs and evaluation records that leak, per split and source of the evaluation record."""
     t = read_table(spark, sf_dir, "split_records").select(F.col("record_id").alias("eval_id"), "split", "source")
-    out = _pairs(spark, sf_dir).join(t, "eval_id")
-    per_record = out.groupBy("split", "source", "eval_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("edits") == 0).alias("same"))
-    return per_record.groupBy("split", "source").agg(F.sum("n").alias("n_pairs"), F.sum("same").alias("n_exact"), F.count(F.lit(1)).alias("n_records"))
+    out = leaks_per_record(_records(spark, sf_dir), "record_id", "split", TEXTS).join(t, "eval_id")
+    return out.groupBy("split", "source").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("n_exact").alias("n_exact"), F.count(F.lit(1)).alias("n_records"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

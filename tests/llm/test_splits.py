@@ -64,6 +64,8 @@ def test_leaks_against_brute_force(spark, seed):
             if 5 * e <= max(len(p), len(q)):
                 want[x[0], y[0]] = e
     assert got == want
+    per = {x["eval_id"]: (x["n_pairs"], x["n_exact"]) for x in leaks.leaks_per_record(d, "record_id", "split", ["before", "text", "after"]).collect()}
+    assert per == {i: (sum(k[0] == i for k in want), sum(k[0] == i and e == 0 for k, e in want.items())) for i, _ in want}
     assert cross_split_pairs(d.limit(0), "record_id", "split", ["before", "text", "after"]).count() == 0
 
 
