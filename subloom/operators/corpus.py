@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,40 +14,37 @@ from subloom.operators.skew import hot_keys, salted_join
 from subloom.session import stored
 
 
-def first_per_key(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
-    """key, n and the order columns and value (as first_...) of the first row of each key, aggregated before the shuffle."""
-    at = F.struct(*order, value)
-    out = df.groupBy(key).agg(F.min(at).alias("_f"), F.count(F.lit(1)).alias("n"))
-    return out.select(key, "n", *[F.col(f"_f.{c}").alias(f"first_{c}") for c in [*order, value]])
-
-
 def deduped(df: DataFrame, order: list[str], text: str = "text", cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """Classified lines of which only the first with the same words keeps its status.
 
-    The order columns put the lines in order and are unique together. Rejected lines take no part. A later line is
-    rejected as duplicate_exact if its stripped text is that of the first line with its key, else as duplicate_near.
-    The first lines come from an aggregation and are joined back; keys of very many lines are salted. Null texts count
-    as empty. An empty table gives an empty one.
+    The order columns put the lines in order; of lines at one place, exactly one counts as first. Rejected lines take no
+    part. A later line is rejected as duplicate_exact if its stripped text is that of the first line with its key, else as
+    duplicate_near. Lines are classified once and stored; only digests of keys (of 128 bits) are shuffled. The first lines
+    come from an aggregation and are joined back; keys of very many lines are salted. Null texts count as empty. An empty
+    table gives an empty one.
     """
     rows = with_classification(df, text, cfg) if "status" not in df.columns else df
     if not cfg.dedupe:
         return rows
     body = F.coalesce(F.col(text), F.lit(""))
+    live = F.col("status") != "rejected"
     exact = strip(body)
-    # Rejected lines get keys that no line has, many of them, so that they don't meet in one task of the join.
-    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*order), F.lit(4096)).cast("string"))
-    rows = rows.withColumns({"_exact": exact, "_key": F.when(F.col("status") != "rejected", dedupe_key(body) if cfg.near_dedupe else exact).otherwise(apart)})
-    keyed = rows.filter("status <> 'rejected'")
-    first = stored(first_per_key(keyed, "_key", order, "_exact").filter("n > 1"))
-    hot = hot_keys(first, ["_key"], "n", df.count())  # all rows, rejected ones too: a bound that costs no rules
-    joined = salted_join(rows, first, ["_key"], hot, order[-1], "left") if hot is not None else rows.join(first, ["_key"], "left")
-    is_first = F.lit(True)
-    for c in order:
-        is_first = is_first & F.col(c).eqNullSafe(F.col(f"first_{c}"))
-    again = F.col("n").isNotNull() & ~is_first
-    reason = F.when(F.col("_exact") == F.col("first__exact"), "duplicate_exact").otherwise("duplicate_near")
+    near = dedupe_key(body) if cfg.near_dedupe else exact
+    rows = stored(rows.withColumns({**_digests("_key", F.when(live, near)), **_digests("_exact", F.when(live, exact)), "_row": F.monotonically_increasing_id()}))
+    lines, keys, own = rows.filter(live), ["_key1", "_key2"], F.struct("_exact1", "_exact2")
+    at = F.struct(*order, "_row", own.alias("e"))
+    first = stored(lines.groupBy(*keys).agg(F.min(at).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys, "n", F.col("f._row").alias("_first"), F.col("f.e").alias("_of_first")))
+    joined = salted_join(lines, first, keys, hot_keys(first, keys, "n", rows.count()), "_row", "left")
+    again = F.col("n").isNotNull() & (F.col("_row") != F.col("_first"))
+    reason = F.when(own == F.col("_of_first"), "duplicate_exact").otherwise("duplicate_near")
     out = joined.withColumns({"status": F.when(again, "rejected").otherwise(F.col("status")), "reasons": F.when(again, F.array(reason)).otherwise(F.col("reasons"))})
-    return out.drop("_exact", "_key", "n", *[f"first_{c}" for c in [*order, "_exact"]])
+    names = [c for c in rows.columns if c not in (*keys, "_exact1", "_exact2", "_row")]
+    return out.select(*[F.col(f"`{c}`") for c in names]).unionByName(rows.filter(~live).select(*[F.col(f"`{c}`") for c in names]))
+
+
+def _digests(name: str, c: Column) -> dict[str, Column]:
+    """Two digests of 64 bits with seeds of their own."""
+    return {f"{name}1": F.xxhash64(c), f"{name}2": F.xxhash64(F.lit(1), c)}
 
 
 def with_context(df: DataFrame, entity: str, order: list[str], text: str = "text", window_s: str | None = None) -> DataFrame:
@@ -69,11 +68,16 @@ def with_context(df: DataFrame, entity: str, order: list[str], text: str = "text
     return out.drop("_b", "_prior", "_next")
 
 
-def to_records(lines: DataFrame, movie: str = "movie_id") -> DataFrame:
-    """Extracted records of kept events (plain, start_s, end_s, style, name, index, has_tags) with context."""
-    w = with_context(lines, movie, ["start_s", "index"], "plain", "start_s")
+def to_records(lines: DataFrame, movie: str = "movie_id", keep: Sequence[str] = ()) -> DataFrame:
+    """Extracted records of kept events (plain, start_s, end_s, style, name, index, has_tags) with context, one each.
+
+    Lines go by start, index and, where there is one, line_no, as the index begins anew with each section. keep: further
+    columns that stay.
+    """
+    ties = [c for c in ("line_no",) if c in lines.columns]
+    w = with_context(lines, movie, ["start_s", "index", *ties], "plain", "start_s")
     name = F.when(strip(F.coalesce(F.col("name"), F.lit(""))) != "", F.col("name"))
-    return w.select(F.col(movie).alias("movie_id"), F.col("plain").alias("text"), "context_before", "context_after", name.alias("speaker"), "style", F.bround("start_s", 3).alias("start"), F.bround("end_s", 3).alias("end"), F.col("index").alias("event_index"), "has_tags")
+    return w.select(F.col(movie).alias("movie_id"), F.col("plain").alias("text"), "context_before", "context_after", name.alias("speaker"), "style", F.bround("start_s", 3).alias("start"), F.bround("end_s", 3).alias("end"), F.col("index").alias("event_index"), "has_tags", *keep)
 
 
 def reason_counts(df: DataFrame, order: list[str]) -> DataFrame:

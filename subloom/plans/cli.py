@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from subloom.operators import rules, split
 from subloom.plans import pipeline, report
-from subloom.session import local_session
+from subloom.session import local_session, stored
 from subloom.sources import records
 
 
@@ -48,8 +48,11 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "pipeline":
         print(report.summary_text(pipeline.run_pipeline(spark, a.roots, a.out, a.seed, tuple(a.ratios), a.test_movies, not a.no_dedupe)))
     elif a.command in ("discover", "extract", "statistics"):
-        found = pipeline.load_files(spark, a.roots)
-        events = pipeline.load_events(found)
+        found = stored(pipeline.load_files(spark, a.roots))
+        failed = pipeline.unread_files(spark, a.roots, found)
+        for f in failed:
+            print(f"not read: {f['path']} ({f['error']})", file=sys.stderr)
+        events = stored(pipeline.load_events(found))
         told = pipeline.discover_files(found, events)
         listed = pipeline.manifest(told, a.roots)
         kept = told.filter("disposition = 'kept'")
@@ -59,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
             for s in listed["skipped"][:20]:
                 print(f"  skipped [{s['reason']}] {s['path']}")
         elif a.command == "statistics":
-            print(report.statistics_report(pipeline.statistics(kept, events, listed)).split("## Per-file table")[0])
+            print(report.statistics_report(pipeline.statistics(kept, events, listed, failed)).split("## Per-file table")[0])
         else:
             rows, drops = pipeline.extract(kept, events)
             records.write_jsonl(rows.select(*[F.col(f"`{c}`") for c in records.RECORD.names], F.col("movie_id").alias("episode")), f"{a.out}/extracted", by="episode")
@@ -67,13 +70,12 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "clean":
         rows = records.read_jsonl(spark, a.source)
         cfg = rules.CleanConfig(dedupe=not a.no_dedupe)
-        order = ["movie_id", "start", "event_index"]
-        out, statuses, reasons = pipeline.clean(rows, order, cfg)
+        out, statuses, reasons = pipeline.clean(rows, records.LINE_ORDER, cfg)
         for s in ("clean", "review", "rejected"):
-            records.write_jsonl(out.filter(F.col("status") == s), f"{a.out}/cleaned/{s}")
+            records.write_jsonl(out.filter(F.col("status") == s).drop(*records.LINE_ORDER), f"{a.out}/cleaned/{s}")
         print(report.cleaning_report(statuses, reasons, cfg))
     elif a.command == "split":
-        m = pipeline.write_splits(records.read_jsonl(spark, a.source), ["movie_id", "start", "event_index"], a.out, tuple(a.ratios), a.seed, a.test_movies)
+        m = pipeline.write_splits(records.read_jsonl(spark, a.source), records.LINE_ORDER, a.out, tuple(a.ratios), a.seed, a.test_movies)
         print(json.dumps({k: m[k] for k in ("line_counts", "line_shares", "movie_counts")}, indent=2))
     else:
         failed = False

@@ -17,7 +17,7 @@ from subloom.session import stored
 from subloom.sources import ass, files, records, srt
 
 DEFAULT_OUTPUT = "output"
-CORPUS_ORDER = ["root_no", "low", "start", "event_index", "line_no"]
+CORPUS_ORDER = ["root_no", "low", "path", "start", "event_index", "line_no"]
 
 
 def load_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
@@ -31,6 +31,11 @@ def load_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     return found.withColumn("extension", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)))
 
 
+def unread_files(spark: SparkSession, roots: Sequence[str], found: DataFrame) -> list[dict[str, str]]:
+    """path and error of the files below the roots that are not among those found: a bad file stops nothing."""
+    return [r.asDict() for r in files.unread(spark, [str(r) for r in roots], found).orderBy("path").collect()]
+
+
 def load_events(found: DataFrame, key: str = "path") -> DataFrame:
     """Events of documents and cues alike."""
     is_srt = F.col("extension") == ".srt"
@@ -62,8 +67,8 @@ def load_manifest(path: str) -> dict[str, Any]:
     return json.loads(Path(path).read_text(encoding="utf-8"))
 
 
-def statistics(kept: DataFrame, events: DataFrame, told: dict[str, Any]) -> dict[str, Any]:
-    """Statistics of kept files (id, path, extension), those without events included."""
+def statistics(kept: DataFrame, events: DataFrame, told: dict[str, Any], failed: Sequence[dict[str, str]] = ()) -> dict[str, Any]:
+    """Statistics of kept files (id, path, extension), those without events included; failed: the files not read."""
     e = events.withColumn("p", tags.protect("text"))
     e = e.withColumns({"translatable": tags.is_translatable_struct(F.col("p")), "plain": chars.one_line(F.col("p.plain"))})
     numbers = ["dialogue_count", "translatable_count", "words", "chars", "avg_chars", "avg_words"]
@@ -80,7 +85,7 @@ def statistics(kept: DataFrame, events: DataFrame, told: dict[str, Any]) -> dict
         "words": t["words"],
         "characters": t["chars"],
         "average_subtitle_length": {"chars": round(t["chars"] / n, 2) if n else 0.0, "words": round(t["words"] / n, 2) if n else 0.0},
-        "failed": [],
+        "failed": list(failed),
         "per_file": [r.asDict() for r in per.select("id", "path", *numbers).orderBy("id").collect()],  # one small row a file, as in the manifest
     }
 
@@ -89,11 +94,9 @@ def extract(kept: DataFrame, events: DataFrame, cfg: rules.ExtractConfig = rules
     """Records with their place in the corpus, and the Dialogue events of each file by drop reason."""
     of_file = kept.select("path", "id", "root_no", F.lower("path").alias("low"))
     judged = rules.with_drop_reason(events.filter("kind = 'Dialogue'"), cfg).join(of_file, "path").withColumn("movie_id", F.col("id"))
-    lines = judged.filter("drop_reason IS NULL")
-    rows = corpus.to_records(lines.withColumn("index", F.col("index")))
-    place = lines.select(F.col("movie_id"), F.col("index").alias("event_index"), "root_no", "low", "line_no")
+    rows = corpus.to_records(judged.filter("drop_reason IS NULL"), keep=["root_no", "low", "path", "line_no"])
     counts = judged.groupBy("movie_id", F.coalesce("drop_reason", F.lit("extracted")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-    return rows.join(place, ["movie_id", "event_index"]), counts
+    return rows, counts
 
 
 def _write_json(path: Path, value: Any) -> None:
@@ -133,15 +136,17 @@ def write_splits(rows: DataFrame, order: list[str], out: str, ratios: tuple[floa
 
 
 def run_pipeline(spark: SparkSession, roots: Sequence[str], out: str = DEFAULT_OUTPUT, seed: int = 42, ratios: tuple[float, ...] = split.RATIOS, test_movies: Iterable[str] = (), dedupe: bool = True) -> dict[str, Any]:
-    """Everything below `out`; earlier runs' tables are replaced, so nothing of them is mixed in."""
+    """Everything below `out`. Episodes of earlier runs stay in `extracted` but aren't mixed in; files that can't be read
+    are listed as failed and stop nothing."""
     target = Path(out)
     found = stored(load_files(spark, roots))
+    failed = unread_files(spark, roots, found)
     events = stored(load_events(found))
     told = stored(discover_files(found, events))
     listed = manifest(told, roots)
     _write_json(target / "files.json", listed)
     kept = told.filter("disposition = 'kept'")
-    stats = statistics(kept, events, listed)
+    stats = statistics(kept, events, listed, failed)
     _write_json(target / "reports" / "dataset_stats.json", stats)
     (target / "reports" / "dataset_stats.md").write_text(report.statistics_report(stats), encoding="utf-8")
 
@@ -155,7 +160,7 @@ def run_pipeline(spark: SparkSession, roots: Sequence[str], out: str = DEFAULT_O
     for r in drops.collect():  # one row a file and reason
         movies.setdefault(r["movie_id"], {})[r["reason"]] = r["n"]
     per = {m: {"dialogue_events": sum(v.values()), "extracted": v.get("extracted", 0), **{k: v.get(k, 0) for k in dropped}} for m, v in sorted(movies.items())}
-    _write_json(target / "extract_summary.json", {"movies": per, "total_lines": extracted, "dropped": dropped, "failed": []})
+    _write_json(target / "extract_summary.json", {"movies": per, "total_lines": extracted, "dropped": dropped, "failed": failed})
 
     cfg = rules.CleanConfig(dedupe=dedupe)
     cleaned, statuses, reasons = clean(rows, CORPUS_ORDER, cfg)
@@ -171,7 +176,7 @@ def run_pipeline(spark: SparkSession, roots: Sequence[str], out: str = DEFAULT_O
         "stats": {k: stats[k] for k in ("dialogue_entries", "translatable_entries", "words")},
         "extracted": extracted,
         "dropped": dropped,
-        "failed": [],
+        "failed": failed,
         "clean": statuses.get("clean", 0),
         "review": statuses.get("review", 0),
         "rejected": statuses.get("rejected", 0),

@@ -14,12 +14,32 @@ CP1251 = bytes(range(0x80, 0x98)).decode("cp1251") + "\x98" + bytes(range(0x99,
 
 
 def scan(spark: SparkSession, roots: list[str], pattern: str | None = None) -> DataFrame:
-    """root_no, root, path, content of every subtitle file under the roots, whatever the letter case of its ending."""
+    """root_no, root, path, content of every subtitle file under the roots, whatever the letter case of its ending.
+
+    Files that can't be read, or are too long for a row, are left out; `unread` lists them.
+    """
+    limit = F.col("length") <= _longest(spark)
+    return _listed(spark, roots, pattern, "content", limit, ignoreCorruptFiles=True, ignoreMissingFiles=True)
+
+
+def unread(spark: SparkSession, roots: list[str], found: DataFrame, pattern: str | None = None) -> DataFrame:
+    """path, error of the subtitle files under the roots of which `found` (root_no, path) has no row."""
+    there = _listed(spark, roots, pattern, "length")  # no content is read for this
+    error = F.when(F.col("length") > _longest(spark), F.format_string("longer than %d bytes", F.lit(_longest(spark)))).otherwise("can't be read")
+    return there.join(found.select("root_no", "path"), ["root_no", "path"], "left_anti").select("path", error.alias("error"))
+
+
+def _longest(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+
+
+def _listed(spark: SparkSession, roots: list[str], pattern: str | None, column: str, only: Column | None = None, **options: bool) -> DataFrame:
     out = None
     for k, root in enumerate(roots):
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).options(**options).load(root)
         found = found.filter(F.lower("path").rlike(pattern or rf"\.({'|'.join(EXTENSIONS)})$"))
-        rows = found.select(F.lit(k).alias("root_no"), F.lit(root.rstrip("/")).alias("root"), F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
+        found = found if only is None else found.filter(only)
+        rows = found.select(F.lit(k).alias("root_no"), F.lit(root.rstrip("/")).alias("root"), F.regexp_replace("path", "^file:/*", "/").alias("path"), column)
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -22,25 +22,32 @@ RECORD = T.StructType(
 )
 
 
+#: Columns that put the rows of read_jsonl in the order of their files and lines, unique together.
+LINE_ORDER = ["file_seq", "file", "block", "row_no"]
+
+
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType = RECORD) -> DataFrame:
     """Records of files or folders of JSON lines; a line that is no JSON stops the job, blank lines don't count.
 
-    For a folder, only its *.jsonl and *.json files are read. Adds file_seq, the place of each file in the list, where a
-    list is given, as the order of the corpus.
+    Of a folder, only its *.jsonl and *.json files are read, in the order of their names. Adds LINE_ORDER: the place in the
+    list of paths, the file, the place of the split in it and the row (which counts up within a split).
     """
-    read = lambda p: spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", "*.json*").json(p)
-    if isinstance(paths, str):
-        return read(paths)
     out = None
-    for k, p in enumerate(paths):
-        rows = read(p).withColumn("file_seq", F.lit(k))
+    for k, p in enumerate([paths] if isinstance(paths, str) else paths):
+        rows = spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", "*.json*").json(p)
+        order = [F.lit(k).alias("file_seq"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row_no")]
+        rows = rows.select(*[F.col(f"`{c}`") for c in schema.names], *order)
         out = rows if out is None else out.unionByName(rows)
-    return out if out is not None else spark.createDataFrame([], T.StructType([*schema, T.StructField("file_seq", T.IntegerType())]))
+    order = T.StructType([T.StructField("file_seq", T.IntegerType()), T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("row_no", T.LongType())])
+    return out if out is not None else spark.createDataFrame([], T.StructType([*schema, *order]))
 
 
 def write_jsonl(df: DataFrame, path: str, by: str | None = None) -> None:
-    """JSON lines in a folder, nulls and non-ASCII characters written as they are; by: a folder for each of its values."""
-    w = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    """JSON lines in a folder, nulls and non-ASCII characters written as they are; by: a folder for each of its values.
+
+    What stood in the folder is replaced; with by, only the folders of values that are written again.
+    """
+    w = df.write.mode("overwrite").option("ignoreNullFields", "false").option("partitionOverwriteMode", "dynamic" if by else "static")
     (w.partitionBy(by) if by else w).json(path)
 
 
