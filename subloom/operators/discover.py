@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from subloom.functions.chars import CYRILLIC, LATIN, LETTER, count, one_line
 from subloom.functions.tags import is_translatable_struct, protect
 from subloom.functions.text import base_key, group_dir, language_from_filename, language_from_folder, make_id
+from subloom.operators.blocks import ranked
+from subloom.session import stored
 
 
 def script_language(events: DataFrame, file: str = "file_id", max_lines: int = 300) -> DataFrame:
@@ -82,17 +84,26 @@ def unique_ids(wanted: list[str]) -> list[str]:
 def with_ids(kept: DataFrame) -> DataFrame:
     """Adds id to kept files (root_no, path, wanted_id): unique, first come first served by root and path.
 
-    A suffix can only meet ids that are the same but for trailing numbers, so each such family is settled for itself.
+    Files of one name are numbered over the whole cluster. Only where some of the numbers may be taken by other names do
+    such a name and those names have to be settled one file after the other.
     """
-    family = F.regexp_replace("wanted_id", r"(?:_\d+)+$", "")
-    rows = kept.select("root_no", "path", "wanted_id", family.alias("_family"))
+    rows = kept.select("root_no", "path", "wanted_id", F.lower("path").alias("low"))
+    counts = stored(rows.groupBy("wanted_id").agg(F.count(F.lit(1)).alias("n")))
+    suffix = r"^(.+)_([2-9]|[1-9]\d+)$"
+    numbers = counts.select(F.col("wanted_id").alias("v"), F.regexp_extract("wanted_id", suffix, 1).alias("u"), F.regexp_extract("wanted_id", suffix, 2).try_cast("long").alias("k")).filter("u <> ''")
+    taken = numbers.join(counts.filter("n > 1").withColumnRenamed("wanted_id", "u"), "u")
+    taken = taken.join(taken.groupBy("u").agg(F.count(F.lit(1)).alias("others")), "u").filter("k <= n + others")
+    mixed = taken.select(F.explode(F.array("u", "v")).alias("wanted_id")).distinct()
 
     def settle(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.assign(low=part["path"].str.lower()).sort_values(["root_no", "low", "path"])
+        part = part.sort_values(["root_no", "low", "path"])
         return pd.DataFrame({"root_no": part["root_no"], "path": part["path"], "id": unique_ids(part["wanted_id"].tolist())})
 
-    ids = rows.groupBy("_family").applyInPandas(settle, "root_no int, path string, id string")
-    return kept.join(ids, ["root_no", "path"])
+    family = F.regexp_replace("wanted_id", r"(?:_\d+)+$", "")
+    settled = rows.join(mixed, "wanted_id", "left_semi").groupBy(family).applyInPandas(settle, "root_no int, path string, id string")
+    plain = ranked(rows.join(mixed, "wanted_id", "left_anti"), "wanted_id", ["root_no", "low", "path"], "_n")
+    plain = plain.select("root_no", "path", F.when(F.col("_n") == 1, F.col("wanted_id")).otherwise(F.concat_ws("_", "wanted_id", F.col("_n").cast("string"))).alias("id"))
+    return kept.join(settled.unionByName(plain), ["root_no", "path"])
 
 
 def with_wanted_id(files: DataFrame) -> DataFrame:

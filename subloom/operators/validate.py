@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subloom.functions.chars import LATIN, LETTER, count, strip
 from subloom.functions.tags import is_translatable, strip_tags, tag_issues
 from subloom.functions.text import bad_chars, event_label, name_or_symbol
+from subloom.operators.blocks import running
 
 #: Sections whose lines, and fields whose values, must not change (fixed values).
 FROZEN_SECTIONS = ["script info", "v4+ styles", "v4 styles", "v4+ styles+", "aegisub project garbage"]
@@ -54,9 +55,11 @@ def section_issues(original: DataFrame, changed: DataFrame, doc: str = "doc") ->
     in one document only or with other lines, and other Format lines of events."""
 
     def described(lines: DataFrame, suffix: str) -> tuple[DataFrame, DataFrame]:
-        one = lines.groupBy(doc, "section_no").agg(F.first("section").alias("section"), F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
-        names = one.groupBy(doc).agg(F.transform(F.array_sort(F.collect_list(F.struct("section_no", "section"))), lambda x: x["section"]).alias(f"names_{suffix}"))
-        first = one.withColumn("name", F.lower("section")).filter(F.col("name").isin(FROZEN_SECTIONS)).groupBy(doc, "name").agg(F.min_by("lines", "section_no").alias(f"lines_{suffix}"))
+        names = lines.groupBy(doc, "section_no").agg(F.max("section").alias("section")).groupBy(doc).agg(F.transform(F.array_sort(F.collect_list(F.struct("section_no", "section"))), lambda x: x["section"]).alias(f"names_{suffix}"))
+        # Events, the bulk of a document, never get this far.
+        frozen = lines.withColumn("name", F.lower("section")).filter(F.col("name").isin(FROZEN_SECTIONS))
+        one = frozen.groupBy(doc, "name", "section_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
+        first = one.groupBy(doc, "name").agg(F.min_by("lines", "section_no").alias(f"lines_{suffix}"))
         return names, first
 
     (na, fa), (nb, fb) = described(original, "a"), described(changed, "b")
@@ -72,16 +75,14 @@ def section_issues(original: DataFrame, changed: DataFrame, doc: str = "doc") ->
 def translation_lines(original: DataFrame, changed: DataFrame, doc: str = "doc", place: str = "ordinal") -> DataFrame:
     """Pairs of translatable events with src, dst (plain, stripped), and the flags empty, bad, untranslated, duplicated.
 
-    duplicated compares with the pair before it that is dialogue and not empty; it needs one document in a window, a
-    document being one file.
+    duplicated compares with the pair before it that is dialogue and not empty, carried over blocks of a document of any
+    size.
     """
     p = paired(original, changed, [doc, place]).filter(is_translatable("a.text"))
     p = p.select(doc, place, event_label(F.col("a.kind"), F.col("a.index"), F.col("a.start"), F.col("a.end")).alias("label"), (F.col("a.kind") == "Dialogue").alias("dialogue"), F.col("b.text").alias("raw"), strip_tags("a.text").alias("_s"), strip_tags(F.coalesce(F.col("b.text"), F.lit(""))).alias("out"))
     p = p.withColumns({"src": strip("_s"), "dst": strip("out")})
     p = p.withColumns({"empty": F.col("dst") == "", "bad": bad_chars("raw"), "untranslated": (F.col("dst") != "") & (F.col("src") == F.col("dst")) & ~name_or_symbol("_s")})
-    w = Window.partitionBy(doc).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.last(F.when(F.col("dialogue") & ~F.col("empty"), F.struct("src", "dst")), ignorenulls=True).over(w)
-    p = p.withColumn("_b", prior)
+    p = running(p, doc, place, {"_b": F.when(F.col("dialogue") & ~F.col("empty"), F.struct("src", "dst"))}, strict=True)
     again = F.col("dialogue") & ~F.col("empty") & (F.col("dst") == F.col("_b.dst")) & (F.col("src") != F.col("_b.src")) & (F.length("dst") > 3)
     return p.withColumn("duplicated", F.coalesce(again, F.lit(False))).drop("_b", "_s")
 
@@ -106,7 +107,7 @@ def translation_issues(lines: DataFrame, doc: str = "doc", place: str = "ordinal
     each = lines.select(doc, F.col(place).cast("long").alias(place), "label", F.explode(some).alias("_i")).select(doc, place, F.concat_ws(": ", "label", "_i").alias("issue"))
     sample = F.array_join(F.slice(F.transform(F.array_sort(F.collect_list(F.when(F.col("untranslated"), F.struct(place, F.concat(F.col("label"), F.lit(": "), quoted(F.col("src"))).alias("m"))))), lambda x: x["m"]), 1, 5), "; ")
     s = translation_summary(lines, doc, max_untranslated, max_latin).join(lines.groupBy(doc).agg(sample.alias("_sample")), doc)
-    percent = lambda c, k: F.format_string(f"%.{k}f%%", c * 100)
+    percent = lambda c, k: F.format_string(f"%.{k}f%%", F.bround(c * 100, k))
     u, la = F.col("n_untranslated") / F.col("translatable"), F.col("latin") / F.nullif(F.col("letters"), F.lit(0))
     whole = F.array_compact(
         F.array(

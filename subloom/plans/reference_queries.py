@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subloom.functions import chars, tags, text, timecode
 from subloom.functions.restore import restore
 from subloom.operators import corpus, discover, reorder, rules, split, validate
+from subloom.operators.blocks import numbered
 from subloom.session import read_table
 from subloom.sources import ass, files, records, srt
 
@@ -69,10 +70,18 @@ def dedupe_exact_near(spark, sf_dir):
     return corpus.deduped(_lines(spark, sf_dir), ["record_id"]).select("record_id", "status", _joined())
 
 
+@query
+def clean_repeats(spark, sf_dir):
+    """Status of every line delivered three times at one place, in the order of movie, time, index and text."""
+    rows = _lines(spark, sf_dir).select("movie_id", "start", "event_index", "text")
+    out = corpus.deduped(rows.unionByName(rows).unionByName(rows), ["movie_id", "start", "event_index", "text"])
+    return out.groupBy("text", "status", _joined()).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 @query
 def context_lines(spark, sf_dir):
-    """The lines before and after each line of its movie."""
-    rows = _lines(spark, sf_dir).filter("movie_id IS NOT NULL").drop("context_before", "context_after")
+    """The lines before and after each line of its movie; lines without one have each other."""
+    rows = _lines(spark, sf_dir).drop("context_before", "context_after")
     out = corpus.with_context(rows, "movie_id", ["start", "event_index", "record_id"], "text", "start")
     return out.select("record_id", "context_before", "context_after")
 
@@ -98,9 +107,9 @@ def text_measures(spark, sf_dir):
 
 @query
 def bad_characters(spark, sf_dir):
-    """Labels of characters that no sound text holds, for the lines that have some."""
-    out = _lines(spark, sf_dir).select("record_id", text.bad_chars("text").alias("b")).filter(F.size("b") > 0)
-    return out.select("record_id", F.array_join("b", ",").alias("bad"))
+    """Labels of characters that no sound text holds, for the events that have some."""
+    out = _events(spark, sf_dir).select("event_id", text.bad_chars("text").alias("b")).filter(F.size("b") > 0)
+    return out.select("event_id", F.array_join("b", ",").alias("bad"))
 
 
 @query
@@ -165,6 +174,15 @@ def extracted_records(spark, sf_dir):
     return corpus.to_records(kept.withColumn("movie_id", F.col("file_id").cast("string")))
 
 
+@query
+def extract_two_sections(spark, sf_dir):
+    """Records of files whose events stand in two sections, so that places in a section come twice: one for each event."""
+    e = _events(spark, sf_dir).withColumn("line_no", F.col("event_id"))
+    halved = e.withColumn("index", F.floor(F.col("event_id") / 2).cast("int"))
+    kept = rules.with_drop_reason(halved).filter("drop_reason IS NULL").withColumn("movie_id", F.col("file_id").cast("string"))
+    return corpus.to_records(kept, keep=["event_id"]).select("event_id", "movie_id", "text", "context_before", "context_after", "event_index")
+
+
 @query
 def stable_partition(spark, sf_dir):
     """New places of the event lines of each file when lines with a top-position tag go last."""
@@ -172,76 +190,100 @@ def stable_partition(spark, sf_dir):
     return reorder.new_positions(e, "file_id", "event_id", F.col("top")).select("file_id", "event_id", F.col("new_pos").cast("long").alias("new_pos"))
 
 
-def _documents_of(e: DataFrame, end: str) -> DataFrame:
-    return ass.render_documents(e, "file_id", "event_id", end)
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as documents can hold them: line ends within a text become line breaks."""
+    return _events(spark, sf_dir).withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]+", r"\\N"))
 
 
 @query
 def ass_render_parse(spark, sf_dir):
-    """Events written as documents and read back: place in the file and all fields."""
-    e = _events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'")
-    out = ass.parse_events(files.lines(_documents_of(e, "\r\n"), "file_id"), "file_id")
+    """Events written as lines of documents and read back: place in the file and all fields."""
+    out = ass.parse_events(ass.render_lines(_written(spark, sf_dir), "file_id", "event_id"), "file_id")
     return out.select("file_id", (F.col("index") - 1).cast("long").alias("ordinal"), "kind", "layer", "start", "end", "style", "name", "margin_l", "margin_r", "margin_v", "effect", "text")
 
 
 @query
 def styles_render_parse(spark, sf_dir):
     """Styles of the documents that events were written as."""
-    out = ass.parse_styles(files.lines(_documents_of(_events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'"), "\n"), "file_id"), "file_id")
+    out = ass.parse_styles(ass.render_lines(_written(spark, sf_dir), "file_id", "event_id"), "file_id")
     return out.select("file_id", "name", F.element_at("fields", "Fontname").alias("font"), F.size("fields").cast("long").alias("n_fields"))
 
 
 @query
 def section_validation(spark, sf_dir):
     """Issues of sections for documents of which every third has another title and every fifth a new section."""
-    docs = _documents_of(_events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'"), "\n")
-    other = F.when(F.col("file_id") % 3 == 0, F.replace("text", F.lit("Title: "), F.lit("Title: y"))).otherwise(F.col("text"))
-    other = F.when(F.col("file_id") % 5 == 0, F.concat(other, F.lit("[Fonts]\n"))).otherwise(other)
-    sections = lambda d: ass.with_sections(files.lines(d, "file_id"), "file_id").filter("NOT is_header AND section <> ''")
-    return validate.section_issues(sections(docs), sections(docs.withColumn("text", other)), "file_id")
+    docs = ass.render_lines(_written(spark, sf_dir), "file_id", "event_id")
+    title = F.when((F.col("file_id") % 3 == 0) & (F.col("line") == "Title: "), "Title: y").otherwise(F.col("line"))
+    more = docs.groupBy("file_id").agg((F.max("line_no") + 1).alias("line_no")).filter("file_id % 5 = 0")
+    more = more.select("file_id", F.inline(F.array(*[F.struct((F.col("line_no") + i).alias("line_no"), F.lit(x).alias("line")) for i, x in enumerate(["[Fonts]", ""])])))
+    sections = lambda d: ass.with_sections(d, "file_id").filter("NOT is_header AND section <> ''")
+    return validate.section_issues(sections(docs), sections(docs.withColumn("line", title).unionByName(more)), "file_id")
 
 
 @query
 def srt_render_parse(spark, sf_dir):
-    """Lines written as cues of a movie and read back, repeated cues once."""
-    rows = _lines(spark, sf_dir).filter("movie_id IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL AND start >= 0 AND end >= start AND end < 90000")
-    rows = rows.filter(F.regexp_replace("text", r"[<&]", "").eqNullSafe(F.col("text")) & ~F.col("text").rlike(r"[\r\n]") & F.col("text").rlike(r"\p{L}"))
-    stamp = lambda c: F.regexp_replace(timecode.to_stamp(c), r"^(\d):(.*)\.(\d\d)$", "0$1:$2,$3" + "0")
-    cue = F.concat(F.row_number().over(Window.partitionBy("movie_id").orderBy("record_id")).cast("string"), F.lit("\n"), stamp("start"), F.lit(" --> "), stamp("end"), F.lit("\n"), "text", F.lit("\n"))
-    rows = rows.withColumn("cue", cue)
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("record_id", "cue"))), lambda x: x["cue"]), "\n")
-    docs = rows.groupBy("movie_id").agg(body.alias("text"))
-    return srt.parse_events(docs, "movie_id").select("movie_id", F.col("index").cast("long").alias("ordinal"), "start", "end", "text")
+    """Lines written as cues of a movie and read back, repeated cues once; every fifth is in italics, every seventh quotes."""
+    rows = _lines(spark, sf_dir).filter("movie_id IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL AND start < 360000 AND end < 360000")
+    t = F.array_join(F.filter(F.transform(F.split(F.translate("text", "<&", "(+"), r"[\r\n]+"), chars.strip), lambda x: x != ""), "|")
+    t = F.when(F.col("record_id") % 5 == 0, F.concat(F.lit("<i>"), t, F.lit("</i>"))).when(F.col("record_id") % 7 == 0, F.concat(F.lit("&quot;"), t, F.lit("&quot;"))).otherwise(t)
+    cues = srt.render_lines(rows.withColumn("text", F.split(t, r"\|")), "movie_id", "record_id")
+    out = srt.cues_to_events(srt.parse_cues(cues, "movie_id"), "movie_id")
+    return out.select("movie_id", F.col("index").cast("long").alias("ordinal"), "start", "end", "text")
 
 
 @query
 def markup_conversion(spark, sf_dir):
     """Inline markup of cue lines as tags."""
-    line = F.concat(F.lit("<i>"), F.col("text"), F.lit("</i><br/><font color=red>x</font> &lt;b&gt;"))
-    return _lines(spark, sf_dir).filter("text NOT LIKE '%&%' AND text NOT LIKE '%<%'").select("record_id", srt.convert_markup(line).alias("converted"))
+    line = F.concat(F.lit("<i>"), F.translate("text", "<&", "(+"), F.lit("</i><br/><font color=red>x</font> &lt;b&gt;"))
+    return _lines(spark, sf_dir).select("record_id", srt.convert_markup(line).alias("converted"))
+
+
+@query
+def line_split(spark, sf_dir):
+    """Documents as lines: the number of lines of each, of empty ones and of characters."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = files.lines(docs, "doc_id").groupBy("doc_id")
+    return out.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line") == "").alias("n_empty"), F.sum(F.length("line")).alias("chars"))
 
 
 @query
 def encoding_detection(spark, sf_dir):
-    """Documents written in four encodings, detected and decoded."""
-    d = read_table(spark, sf_dir, "documents").filter("text IS NOT NULL AND length(text) > 0")
-    k = F.col("doc_id") % 4
+    """Documents written in six encodings, detected and decoded, with the digest of their bytes.
+
+    What an encoding lacks is written as a question mark; where one would read like UTF-8, a letter of its own comes first.
+    """
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    k = F.col("doc_id") % 6
     mark = lambda h: F.unhex(F.lit(h))
+    upper = "".join(map(chr, range(0x80, 0x100)))
+    cyrillic = F.concat(F.lit("Ж "), F.regexp_replace("text", r"[^\x{00}-\x{7f}А-яЁё]", "?"))
+    latin = F.concat(F.lit("é "), F.regexp_replace("text", r"[^\x{00}-\x{7f}\x{a0}-\x{ff}]", "?"))
     content = (
         F.when(k == 0, F.encode("text", "UTF-8"))
         .when(k == 1, F.concat(mark("EFBBBF"), F.encode("text", "UTF-8")))
         .when(k == 2, F.concat(mark("FFFE"), F.encode("text", "UTF-16LE")))
-        .otherwise(F.concat(mark("FEFF"), F.encode("text", "UTF-16BE")))
+        .when(k == 3, F.concat(mark("FEFF"), F.encode("text", "UTF-16BE")))
+        .when(k == 4, F.encode(F.translate(cyrillic, files.CP1251, upper), "ISO-8859-1"))
+        .otherwise(F.concat(F.encode(latin, "ISO-8859-1"), mark("98")))
     )
     out = files.with_text(d.select("doc_id", content.alias("content")))
-    return out.select("doc_id", "codec", "bom", "encoding", "text", F.when(F.col("newline") == "\r\n", "crlf").otherwise("lf").alias("newline"))
+    return out.select("doc_id", "codec", "bom", "encoding", "text", F.when(k < 2, F.col("sha1")).alias("sha1"), F.when(F.col("newline") == "\r\n", "crlf").otherwise("lf").alias("newline"))
 
 
 @query
 def collected_top_lines(spark, sf_dir):
-    """Documents as bytes with top-position lines moved last: their number, and whether anything moved."""
-    docs = _documents_of(_events(spark, sf_dir).filter("NOT text RLIKE '[\\r\\n]'"), "\n")
-    return reorder.collected(docs.select("file_id", F.encode("text", "UTF-8").alias("content")), "file_id").select("file_id", "n_top", "changed")
+    """Documents as bytes with top-position lines moved last: their number, whether anything moved, and the new bytes' digest."""
+    docs = ass.render_documents(_written(spark, sf_dir), "file_id", "event_id", "\n")
+    out = reorder.collected(docs.select("file_id", F.encode("text", "UTF-8").alias("content")), "file_id")
+    return out.select("file_id", "n_top", "changed", F.md5("new_content").alias("new_md5"))
+
+
+@query
+def restore_around_changes(spark, sf_dir):
+    """Tags put back around a text in other words: at its ends, and in proportion to where they stood, at the nearest space."""
+    e = _events(spark, sf_dir).filter("kind = 'Dialogue'").select("event_id", F.regexp_extract("text", r"^((?:\{[^}p]*\})+)([^{}\\\r\n]+)$", 1).alias("lead"))
+    e = e.withColumn("text", F.concat("lead", F.lit(r"one {\b1}two three{\i0}")))
+    return e.select("event_id", restore("text", F.lit("дөрөв\nтав")).alias("restored"))
 
 
 # Files
@@ -301,9 +343,10 @@ def file_statistics(spark, sf_dir):
 
 @query
 def corpus_statistics(spark, sf_dir):
-    """Totals over all files with Dialogue, by file name ending."""
+    """Totals over all files, those without events included, by file name ending."""
     f = read_table(spark, sf_dir, "subtitle_files").select("file_id", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).alias("extension"))
-    out = f.join(_stats(spark, sf_dir), "file_id").groupBy("extension").agg(F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in ("dialogue_count", "translatable_count", "words", "chars")])
+    numbers = ["dialogue_count", "translatable_count", "words", "chars"]
+    out = f.join(_stats(spark, sf_dir), "file_id", "left").fillna(0, numbers).groupBy("extension").agg(F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in numbers])
     ratio = lambda c: F.bround(F.coalesce(F.col(c) / F.nullif(F.col("translatable_count"), F.lit(0)), F.lit(0.0)), 2)
     return out.withColumns({"avg_chars": ratio("chars"), "avg_words": ratio("words")})
 
@@ -336,20 +379,47 @@ def split_summary(spark, sf_dir):
     return split.split_summary(read_table(spark, sf_dir, "split_records"))
 
 
+_PARTS = ["split", "lines", "movies", "line_share"]
+
+
 @query
 def grouped_split(spark, sf_dir):
-    """Episodes of the lines assigned to splits, largest first, where the fill is lowest."""
+    """Lines and episodes of the splits to which episodes are assigned, largest first, where the fill is lowest.
+
+    Which of two episodes of one size goes where depends on a seeded shuffle; these numbers don't.
+    """
     out, _ = split.with_split(_lines(spark, sf_dir), ["record_id"])
-    return split.split_summary(out)
+    return split.split_summary(out).select(*_PARTS)
+
+
+@query
+def forced_split(spark, sf_dir):
+    """The same with all first episodes in test, and a name that no episode has."""
+    lines = _lines(spark, sf_dir)
+    first = [r["movie_id"] for r in lines.filter("movie_id LIKE '%s01e01%'").select("movie_id").distinct().collect()]  # a list a user would give
+    out, _ = split.with_split(lines, ["record_id"], (0.6, 0.2, 0.2), 7, [*first, "no such episode"])
+    return split.split_summary(out).select(*_PARTS)
+
+
+@query
+def split_rows(spark, sf_dir):
+    """Whether episodes stay whole: the number of episodes in more than one split, and of lines in all."""
+    out, _ = split.with_split(_lines(spark, sf_dir), ["record_id"])
+    per = out.groupBy("movie_id").agg(F.countDistinct("split").alias("k"), F.count(F.lit(1)).alias("n"))
+    return per.agg(F.count_if(F.col("k") > 1).alias("n_torn"), F.sum("n").alias("n_lines"))
 
 
 # Validation
 
 
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = numbered(_events(spark, sf_dir), "file_id", "event_id", "ordinal")
+    return e.select("file_id", F.col("ordinal").cast("int").alias("ordinal"), *validate.FROZEN_FIELDS, "index", "text")
+
+
 def _altered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Events of each file by place, and the same with some styles, tags and texts changed and last events lost."""
-    w = Window.partitionBy("file_id").orderBy("event_id")
-    e = _events(spark, sf_dir).withColumn("ordinal", F.row_number().over(w)).select("file_id", "ordinal", *validate.FROZEN_FIELDS, "index", "text")
+    e = _placed(spark, sf_dir)
     n = F.col("ordinal")
     changed = e.withColumns({"style": F.when(n % 11 == 0, "Changed").otherwise(F.col("style")), "text": F.when(n % 7 == 0, F.regexp_replace("text", tags.BLOCK, "")).otherwise(F.col("text"))})
     return e, changed.filter(~((n % 50 == 0) & (F.col("file_id") % 2 == 0)))
@@ -364,10 +434,36 @@ def structure_validation(spark, sf_dir):
     return out.groupBy("file_id", kind.alias("kind")).agg(F.countDistinct("ordinal").alias("n_events"))
 
 
+@query
+def structure_messages(spark, sf_dir):
+    """The issues in words for files with other styles, margins and effects, and with a new tag here and there."""
+    a = _placed(spark, sf_dir)
+    n = F.col("ordinal")
+    b = a.withColumns(
+        {
+            "style": F.when(n % 11 == 0, "Changed").otherwise(F.col("style")),
+            "layer": F.when(n % 13 == 0, F.col("layer") + 1).otherwise(F.col("layer")),
+            "text": F.when(n % 17 == 0, F.concat(F.lit(r"{\blur9}{\blur9}"), "text")).otherwise(F.col("text")),
+        }
+    )
+    return validate.structure_issues(a, b.filter(~((n % 50 == 0) & (F.col("file_id") % 2 == 0))), "file_id")
+
+
+def _translated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events against themselves: every ninth text lost, every eighth with a bad character, of ten in a row two the same."""
+    a, n = _placed(spark, sf_dir), F.col("ordinal")
+    t = F.when(n % 9 == 0, "").when(n % 8 == 0, F.concat("text", F.lit("\ufffd\u0007"))).when((n % 10).isin(4, 5), "Адилхан мөр").otherwise(F.col("text"))
+    return validate.translation_lines(a, a.withColumn("text", t), "file_id")
+
+
 @query
 def translation_validation(spark, sf_dir):
-    """Counts of what is wrong with a translation: the events of every file against themselves, every ninth text lost."""
-    a, _ = _altered(spark, sf_dir)
-    b = a.withColumn("text", F.when(F.col("ordinal") % 9 == 0, "").otherwise(F.col("text")))
-    out = validate.translation_summary(validate.translation_lines(a, b, "file_id"), "file_id")
-    return out.select("file_id", "translatable", "n_empty", "n_untranslated", "letters", "latin", "too_many_untranslated", "too_much_latin")
+    """Counts of what is wrong with a translation."""
+    out = validate.translation_summary(_translated(spark, sf_dir), "file_id")
+    return out.select("file_id", "translatable", "n_empty", "n_bad", "n_untranslated", "n_duplicated", "letters", "latin", "too_many_untranslated", "too_much_latin")
+
+
+@query
+def translation_messages(spark, sf_dir):
+    """The same in words, with a sample of five lines that were left as they are."""
+    return validate.translation_issues(_translated(spark, sf_dir), "file_id")

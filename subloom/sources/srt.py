@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from subloom.functions.chars import SPACE, col, strip
 from subloom.functions.restore import unescape
 from subloom.functions.timecode import to_stamp
+from subloom.operators.blocks import numbered, running
 
 _TIME = r"(\d{1,2}):(\d{1,2}):(\d{1,2})[,.](\d{1,3})"
 TIMING = rf"^[{SPACE}]*{_TIME}[{SPACE}]*-->[{SPACE}]*{_TIME}(?:[{SPACE}]+.*)?$"
@@ -42,30 +43,39 @@ def srt_lines(files: DataFrame, key: str = "path", text: str = "text") -> DataFr
     return files.select(key, F.posexplode(F.split(t, "\n", -1)).alias("line_no", "line"))
 
 
+#: Lines that a written cue may have; more would meet the next cue's places.
+LINES = 1 << 12
+
+
+def render_lines(cues: DataFrame, file: str, order: str) -> DataFrame:
+    """file, line_no, line of cues (start and end in seconds, text: an array of lines, none of them blank) in order (a whole
+    number): number, times, text, blank."""
+    stamp = lambda c: F.regexp_replace(to_stamp(c), r"^(\d+):(.*)\.(\d\d)$", "$1:$2,$3" + "0")
+    timing = F.concat(stamp("start"), F.lit(" --> "), stamp("end"))
+    rows = F.concat(F.array(F.col(order).cast("string"), timing), F.col("text"), F.array(F.lit("")))
+    return cues.select(file, F.col(order).alias("_o"), F.posexplode(rows).alias("_i", "line")).select(file, (F.col("_o").cast("long") * LINES + F.col("_i")).alias("line_no"), "line")
+
+
 def parse_cues(lines: DataFrame, file: str = "path") -> DataFrame:
     """file, cue, start, end (seconds), lines (array) of every cue, without exact repetitions; cue counts from 0.
 
     A timing line opens a cue, the first blank line closes it, what follows up to the next timing is lost. A number
-    directly before the next timing is that cue's. A cue without text is kept.
+    directly before the next timing is that cue's. A cue without text is kept. A file may have any number of cues.
     """
     timing = F.col("line").rlike(TIMING)
-    w = Window.partitionBy(file).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("_t", timing).withColumn("_cue", F.sum(F.col("_t").cast("int")).over(w)).filter("_cue > 0")
+    rows = running(lines.withColumn("_t", timing), file, "line_no", sums={"_cue": F.col("_t").cast("int")}, totals={"_cues": F.col("_t").cast("int")}).filter("_cue > 0")
     inside = Window.partitionBy(file, "_cue").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_blank", ~F.col("_t") & (strip("line") == "")).withColumn("_closed", F.max("_blank").over(inside))
     right = F.regexp_replace("line", rf"[{SPACE}]+$", "")
     # A null start or end stands for figures that no number holds; such timings are none.
     kept = F.filter(F.array_sort(F.collect_list(F.when(~F.col("_t") & ~F.col("_closed"), F.struct("line_no", right.alias("line"))))), lambda x: x.isNotNull())
-    g = rows.groupBy(file, "_cue").agg(F.min(F.when(F.col("_t"), F.col("line"))).alias("_timing"), F.max("_closed").alias("_was_closed"), F.max("_cue").alias("_n"), kept.alias("_kept"))
-    per_file = Window.partitionBy(file)
+    g = rows.groupBy(file, "_cue").agg(F.min(F.when(F.col("_t"), F.col("line"))).alias("_timing"), F.max("_closed").alias("_was_closed"), F.max("_cues").alias("_cues"), kept.alias("_kept"))
     texts = F.transform("_kept", lambda x: x["line"])
-    glued = ~F.col("_was_closed") & (F.col("_cue") < F.max("_cue").over(per_file)) & F.coalesce(F.try_element_at(texts, F.lit(-1)).rlike(rf"^[{SPACE}]*\d+[{SPACE}]*$"), F.lit(False))
+    glued = ~F.col("_was_closed") & (F.col("_cue") < F.col("_cues")) & F.coalesce(F.try_element_at(texts, F.lit(-1)).rlike(rf"^[{SPACE}]*\d+[{SPACE}]*$"), F.lit(False))
     g = g.withColumn("lines", F.when(glued, F.slice(texts, F.lit(1), F.size(texts) - 1)).otherwise(texts))
     g = g.withColumns({"start": _seconds(F.col("_timing"), 1), "end": _seconds(F.col("_timing"), 5)})
-    same = Window.partitionBy(file, "start", "end", F.array_join("lines", "\n")).orderBy("_cue")
-    g = g.withColumn("_again", F.row_number().over(same)).filter("_again = 1")
-    n = F.row_number().over(Window.partitionBy(file).orderBy("_cue")) - 1
-    return g.withColumn("cue", n).select(file, "cue", "start", "end", "lines")
+    once = g.groupBy(file, "start", "end", "lines").agg(F.min("_cue").alias("_cue"))
+    return numbered(once, file, "_cue", "_n").select(file, (F.col("_n") - 1).cast("int").alias("cue"), "start", "end", "lines")
 
 
 def cues_to_events(cues: DataFrame, file: str = "path") -> DataFrame:
@@ -82,4 +92,5 @@ def cues_to_events(cues: DataFrame, file: str = "path") -> DataFrame:
 
 
 def parse_events(files: DataFrame, key: str = "path", text: str = "text") -> DataFrame:
+    """Events of documents of cues."""
     return cues_to_events(parse_cues(srt_lines(files, key, text), key), key)

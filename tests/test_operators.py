@@ -127,6 +127,32 @@ def test_unique_ids(spark):
     assert discover.unique_ids(want) == ["ks", "ks_2", "ks_3", "ks_4", "ks_2_2"]
     d = spark.createDataFrame([(0, f"/{i}", w) for i, w in enumerate(want)], "root_no int, path string, wanted_id string")
     assert [r["id"] for r in discover.with_ids(d).orderBy("path").collect()] == discover.unique_ids(want)
+    r = random.Random(9)
+    want = [r.choice(["a", "a_2", "a_3", "a_2_2", "b", "c", "c_07", "d_9", "d", "e_100", "e"]) for _ in range(120)]
+    d = spark.createDataFrame([(0, f"/{i:03d}", w) for i, w in enumerate(want)], "root_no int, path string, wanted_id string")
+    assert [r["id"] for r in discover.with_ids(d).orderBy("path").collect()] == discover.unique_ids(want)
+    assert discover.with_ids(d.limit(0)).count() == 0
+
+
+def test_running_values_over_blocks(spark, monkeypatch):
+    from subloom.operators import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 4)
+    r = random.Random(3)
+    rows = [("k" if i % 7 else "l", i * 2, r.choice([None, None, i]), r.choice([0, 1, None])) for i in range(60)]
+    d = spark.createDataFrame(rows, "k string, at int, v int, s int")
+    for strict in (False, True):
+        want, state = {}, {}
+        for k, at, v, s in rows:
+            last, total = state.get(k, (None, 0))
+            after = (last if v is None else v, total + (s or 0))
+            want[at] = (last, total) if strict else after
+            state[k] = after
+        got = blocks.running(d, "k", "at", {"a": F.col("v")}, {"b": F.col("s")}, strict, {"t": F.col("s")}).collect()
+        assert {x["at"]: (x["a"], x["b"]) for x in got} == want and all(x["t"] == state[x["k"]][1] for x in got)
+    places = {at: sum(x[0] == k and x[1] <= at for x in rows) for k, at, _, _ in rows}
+    assert {x["at"]: x["n"] for x in blocks.numbered(d, "k", "at", "n").collect()} == places == {x["at"]: x["n"] for x in blocks.ranked(d, "k", ["at"], "n").collect()}
+    assert blocks.running(d.limit(0), "k", "at", {"a": F.col("v")}).count() == 0
 
 
 def brute(rows):
