@@ -4,7 +4,8 @@ Every letter has a fixed random vector of +1 and -1. A letter n-gram is the prod
 permuted by its place (bound); a text is the bundle of its n-grams and whole words, and a language prototype the bundle
 of those of its sample, frequent ones damped. Texts are compared with the prototypes by cosine. The cosine's numerator is
 a sum over n-grams, so the product of each n-gram with the prototypes is worked out once per worker, and stretches are
-scored by adding up.
+scored by adding up. Sentences and lines are scored first; one in which some run of words speaks for another language is
+cut where the language changes, by the best path over its words with a price for each change.
 
 The prototypes are trained on a bounded sample of labelled documents (SAMPLE a language), in two rounds: the second
 leaves out the documents that the first finds to be in another language than their label says.
@@ -29,6 +30,11 @@ DIM, GRAM, SAMPLE, LONGEST = 16384, 3, 400, 100_000
 #: A whole word counts as so many n-grams.
 WHOLE = 2.0
 MIN_WORDS, MIN_EVENTS = 25, 5
+#: Words that a language needs within a sentence of others, how far the second language of so many words stays behind for
+#: the sentence to be looked at, and the price of a change in mean scores of a word.
+INNER, DOUBT, CHANGE = 12, 0.3, 5.0
+#: Longer "words" count by their n-grams alone: no language has them.
+WORD_LETTERS = 64
 BUCKET = 2048
 MEMO = 300_000
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -55,10 +61,10 @@ def gram_vector(gram: str) -> np.ndarray:
 def grams(word: str) -> Iterator[tuple[str, float]]:
     """n-grams of a word with its edges, and the word itself, with their weights; none where it has no letters."""
     for part in _LETTERS.findall(word.lower()):
-        padded = f" {part[:64]} "
+        padded = f" {part} "
         for i in range(len(padded) - GRAM + 1):
             yield padded[i : i + GRAM], 1.0
-        if len(padded) > GRAM:
+        if GRAM < len(padded) <= WORD_LETTERS + 2:
             yield padded, WHOLE
 
 
@@ -145,7 +151,7 @@ class Scorer:
         return i
 
     def segments(self, texts: list[str]) -> pd.DataFrame:
-        """owner, first (word), words, lang (index, -1 where nothing tells), confidence of each sentence or line."""
+        """owner, first (word), words, lang (index, -1 where nothing tells), confidence of each sentence, line or part of one."""
         if len(self.ids) > MEMO:
             self._reset()
         ids, known, make = [], self.ids, self._id
@@ -160,7 +166,7 @@ class Scorer:
         owner = np.repeat(np.arange(len(texts)), counts)
         begins = np.ones(len(at), bool)
         begins[1:] = self.flags[at[:-1], 0] | (owner[1:] != owner[:-1])
-        start = np.flatnonzero(begins)
+        start = inner_borders(self.scores[at], np.flatnonzero(begins))
         scores = np.add.reduceat(self.scores[at], start)
         is_word = self.flags[at, 1].astype(np.int64)
         words = np.add.reduceat(is_word, start)
@@ -181,6 +187,48 @@ def best(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(sound, order[:, -1], -1), np.where(sound, order[:, -2], -1), confidence
 
 
+def inner_borders(scores: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The starts of sentences, and of parts in another language within them, from the scores of all words."""
+    ends = np.append(start[1:], len(scores))
+    long = np.flatnonzero(ends - start >= 2 * INNER)
+    if not len(long):
+        return start
+    more = []
+    for a, b in zip(start[long].tolist(), ends[long].tolist(), strict=True):
+        total = np.cumsum(scores[a:b], axis=0, dtype=np.float64)
+        windows = total[INNER:] - total[:-INNER]
+        main = int(np.argmax(total[-1]))
+        top = windows.max(axis=1)
+        if ((top - windows[:, main]) > DOUBT * np.maximum(top, 1e-9)).any():
+            more += [a + x for x in changes(scores[a:b])]
+    return np.sort(np.concatenate([start, np.array(more, np.int64)])) if more else start
+
+
+def changes(scores: np.ndarray) -> list[int]:
+    """Places at which the language changes: the path with the highest sum of scores less a price for each change, in which
+    every stretch has INNER words or more."""
+    price = CHANGE * float(np.maximum(scores.max(axis=1), 0).mean())
+    best, back = scores[0].astype(np.float64), []
+    for row in scores[1:]:
+        top = int(np.argmax(best))
+        change = best[top] - price > best
+        back.append(np.where(change, top, -1))
+        best = np.where(change, best[top] - price, best) + row
+    state = int(np.argmax(best))
+    path = [state]
+    for b in reversed(back):
+        state = state if b[state] < 0 else int(b[state])
+        path.append(state)
+    path.reverse()
+    cut = [i for i in range(1, len(path)) if path[i] != path[i - 1]]
+    out, last = [], 0
+    for i in cut:  # a stretch that is too short goes with the one before it
+        if i - last >= INNER and (not out or path[i] != path[last]):
+            out.append(i)
+            last = i
+    return out if not out or len(path) - out[-1] >= INNER else out[:-1]
+
+
 def smoothed(seg: pd.DataFrame) -> pd.Series:
     """Language of each sentence; one that tells nothing, or little, goes with the sentences around it."""
     unsure = (seg["lang"] < 0) | (seg["words"] <= 5) & (seg["confidence"] < 0.35) | (seg["confidence"] < 0.08)
@@ -241,17 +289,22 @@ def fit(docs: DataFrame, text_col: str, label: str, events: DataFrame | None = N
 def document_stretches(docs: DataFrame, id_col: str, text_col: str, prototypes: np.ndarray) -> DataFrame:
     """id_col, language, first_word, n_words, confidence of each stretch of a text in one language.
 
-    Words split at white space. Null, empty and letterless texts have none; texts of any length are read whole.
+    Words split at white space; texts of any length are read whole. Null, empty and letterless texts, and others in which
+    nothing tells a language, have one row: all their words, no language and confidence 0.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(prototypes)
         names = np.array(LANGUAGES, object)
         for b in batches:
-            s = stretches(scorer.segments(b["text"].tolist()))
-            yield pd.DataFrame({id_col: b["id"].to_numpy()[s["owner"].to_numpy(int)], "language": names[s["lang"].to_numpy(int)], "first_word": s["first"].astype(int), "n_words": s["words"].astype(int), "confidence": s["confidence"].astype(float)})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
+            texts, ids = b["text"].tolist(), b["id"].to_numpy()
+            s = stretches(scorer.segments(texts))
+            own = s["owner"].to_numpy(int)
+            yield pd.DataFrame({id_col: ids[own], "language": names[s["lang"].to_numpy(int)], "first_word": s["first"].astype(int), "n_words": s["words"].astype(int), "confidence": s["confidence"].astype(float)})
+            none = np.setdiff1d(np.arange(len(texts)), own)
+            yield pd.DataFrame({id_col: ids[none], "language": None, "first_word": 0, "n_words": [len(texts[i].split()) for i in none], "confidence": 0.0})
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.mapInPandas(run, f"`{id_col}` long, language string, first_word int, n_words int, confidence double")
 
 

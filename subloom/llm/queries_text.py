@@ -38,7 +38,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     prototypes = _prototypes(spark, sf_dir)
     docs, files = _labelled(spark, sf_dir)
     runs = document_stretches(docs, "doc_id", "text", prototypes)
-    in_docs = runs.filter(F.col("n_words") >= MIN_WORDS).select(F.col("doc_id").alias("record_id"), "language").distinct()
+    in_docs = runs.filter((F.col("n_words") >= MIN_WORDS) & F.col("language").isNotNull()).select(F.col("doc_id").alias("record_id"), "language").distinct()
     in_files = _files(spark, sf_dir, prototypes).filter(F.col("longest") >= MIN_EVENTS).select(F.col("file_id").alias("record_id"), "language")
     out = []
     for kind, found, labelled in (("document", in_docs, docs.select(F.col("doc_id").alias("record_id"), "label")), ("file", in_files, files.withColumnRenamed("file_id", "record_id"))):
@@ -48,14 +48,21 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stretch of every document in one language, with its confidence; a document of one language has one row."""
+    """Every stretch of every document in one language, with its confidence; a document of one language, or none, has one row."""
     return document_stretches(_labelled(spark, sf_dir)[0], "doc_id", "text", _prototypes(spark, sf_dir))
 
 
 def p1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every language of every file with its share of the events as confidence."""
+    """Every language of every file with its share of the events as confidence, what the label stands for and where it is from.
+
+    A file without events that tell a language has one row with no language and confidence 0.
+    """
     out = _files(spark, sf_dir, _prototypes(spark, sf_dir))
-    return out.select("file_id", "language", "longest", "events", (F.col("events") / F.col("of_events")).alias("confidence"))
+    out = out.select("file_id", "language", "longest", "events", (F.col("events") / F.col("of_events")).alias("confidence"))
+    source = read_table(spark, sf_dir, "subtitle_files").select(F.col("file_id").cast("long"), "language_source")
+    every = _labelled(spark, sf_dir)[1].join(source, "file_id").join(out, "file_id", "left")
+    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("longest", "events")]
+    return every.select("file_id", "language", *numbers, F.coalesce("confidence", F.lit(0.0)).alias("confidence"), "label", "language_source", F.col("language").eqNullSafe(F.col("label")).alias("as_labelled"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +88,7 @@ def p3_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stretches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The documents, and their stretches in one language."""
     docs = _labelled(spark, sf_dir)[0]
-    return docs, document_stretches(docs, "doc_id", "text", fit(docs, "text", "label"))
+    return docs, document_stretches(docs, "doc_id", "text", _prototypes(spark, sf_dir))
 
 
 def _english(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -108,7 +115,7 @@ def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = F.col("n_words") >= MIN_WORDS
     one = lambda f: F.coalesce(f(F.when(long, F.col("language"))), f("language"))
     told = runs.groupBy("doc_id").agg(one(F.min).alias("first"), one(F.max).alias("last"))
-    told = told.select("doc_id", F.when(F.col("first") == F.col("last"), F.col("first")).otherwise("mixed").alias("language"))
+    told = told.select("doc_id", F.when(F.col("first").eqNullSafe(F.col("last")), F.col("first")).otherwise("mixed").alias("language"))
     return levels.join(told, "doc_id", "left")
 
 

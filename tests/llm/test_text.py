@@ -84,6 +84,24 @@ def test_stretches(prototypes):
     assert seg["words"].sum() == len(text.split()) + 6 and (seg["confidence"] > 0.3).all() and seg["first"].iloc[1] == len(" ".join(SENTENCES["en"] * 2).split())
 
 
+@pytest.mark.parametrize("mark", ["", ",", " -"])
+def test_stretches_within_a_sentence(prototypes, mark):
+    """34 English words and 32 German ones with no stop between them; and German within English on both sides."""
+    bare = {k: " ".join(v * 2).replace(".", "") for k, v in SENTENCES.items()}
+    en, de = (" ".join((bare[k].split() * 2)[:n]) for k, n in (("en", 34), ("de", 32)))
+    s = L.Scorer(prototypes)
+    seg = L.stretches(s.segments([en + mark + " " + de, en + mark + " " + de + mark + " " + en, en + " " + en]))
+    got = [(r.owner, L.LANGUAGES[r.lang], r.words) for r in seg.itertuples()]
+    assert [x[:2] for x in got] == [(0, "en"), (0, "de"), (1, "en"), (1, "de"), (1, "en"), (2, "en")]
+    assert all(abs(n - m) <= 3 for (_, _, n), m in zip(got, [34, 32, 34, 32, 34, 68], strict=True))
+
+
+def test_documents_without_language(spark, prototypes):
+    d = spark.createDataFrame([(1, None), (2, ""), (3, " 12 34 "), (4, SENTENCES["fr"][0]), (5, "x" * 100_000)], "doc_id long, text string")
+    got = {x["doc_id"]: (x["language"], x["n_words"], x["confidence"]) for x in L.document_stretches(d, "doc_id", "text", prototypes).collect()}
+    assert {k: got[k] for k in (1, 2, 3)} == {1: (None, 0, 0.0), 2: (None, 0, 0.0), 3: (None, 2, 0.0)} and got[4][0] == "fr" and got[5][1] == 1
+
+
 def test_held_out_words(prototypes):
     s = L.Scorer(prototypes)
     for lang, text in (("en", "Nobody opened the empty basket near the ship."), ("de", "Der Mann hat nie wieder das Schiff geöffnet."), ("fr", "Le bateau était au marché avant la pluie."), ("ru", "Кто-то открыл пуст корзину на корабль.")):
