@@ -36,7 +36,7 @@ _CYR_SET, _ACC_SET = set(CYRILLIC + CYRILLIC.upper()), set(ACCENTED + ACCENTED.u
 _IN_WORD, _EDGE = set("’‘-–—…'´`"), set("’‘“”„‚«»‹›…—–♪♫¿¡°€№−×·•†™®©")
 _QUOTES = set("“”‘’„‚…—–«»‹›¿¡")
 _SIZE = len(CYRILLIC)
-MOST_STEPS, MOST_FORMS, SUSPECT, GAIN = 4, 800, 1.9, 1.6
+SUSPECT, GAIN, SHARE = 1.9, 1.5, 0.55
 MEMO = 500_000
 #: What a step costs: least between the encodings that are mistaken for one another most.
 _USUAL, _SEEN = ("cp1252", "cp1251", "utf-8"), ("latin-1", "koi8-r", "cp866", "mac-roman", "utf-16-le", "utf-16-be")
@@ -55,20 +55,22 @@ def _one(enc: str) -> list[str]:
 
 
 @cache
-def _tables() -> tuple[dict[str, dict[int, str]], list[tuple[str, dict[int, str]]]]:
+def _tables() -> tuple[dict[str, dict[int, str]], list[tuple[str, dict[int, str], frozenset[int]]]]:
     """For each encoding the way from its upper characters to byte values, and all ways from one encoding to another."""
-    to_byte, ways = {}, []
+    to_byte, ways, lacking = {}, [], {}
     chars = {e: _one(e) for e in SINGLE}
     for e in SINGLE:
         to_byte[e] = {ord(c): chr(b) for b, c in enumerate(chars[e]) if b >= 128}
         if e == "cp1252":  # a byte read as cp1252 and its control character are both seen
             to_byte[e] |= {b: chr(b) for b in range(128, 160)}
+        if e != "latin-1":  # what the encoding lacks is no byte of it
+            lacking[e] = {c: "\0" for c in range(160, 256) if c not in to_byte[e]}
     for e in SINGLE:
         for d in SINGLE:
             step = {ord(c): chars[d][b] for b, c in enumerate(chars[e]) if b >= 128 and c != chars[d][b]}
-            if step and all(step != s for _, s in ways):
-                ways.append((f"{e}>{d}", step))
-    return to_byte, ways
+            if step and all(step != w[1] for w in ways):
+                ways.append((f"{e}>{d}", step, frozenset(to_byte[e])))
+    return {e: t | lacking.get(e, {}) for e, t in to_byte.items()}, ways
 
 
 #: Names of the ways that exchange one single-byte table for another.
@@ -83,8 +85,12 @@ class Repairer:
         bits = -np.log2(counts / max(counts.sum(), 1) + 1e-9)
         excess = np.clip((bits - 11) * 0.3, 0, 1.6) if counts.sum() > 1000 else np.zeros_like(bits)
         self.pair = {(a, b): float(excess[i, j]) for i, a in enumerate(CYRILLIC) for j, b in enumerate(CYRILLIC)}
+        self.bits = {(a, b): float(bits[i, j]) for i, a in enumerate(CYRILLIC) for j, b in enumerate(CYRILLIC)} if counts.sum() > 1000 else {}
         self.kinds: dict[str, tuple[str, float]] = {}
         self.memo: dict[str, tuple[str, bool, str]] = {}
+        self.applied: dict[tuple[str, str], str] = {}
+        self.costs: dict[str, float] = {}
+        self.tables = {name: (table, has) for name, table, has in _tables()[1]}
 
     def _kind(self, c: str) -> tuple[str, float]:
         """Kind (a ASCII letter, l accented, c Cyrillic, o other letter, d digit, p in-word mark, s symbol) and cost of a character."""
@@ -141,11 +147,15 @@ class Repairer:
             before, last = kind, c
         return total
 
+    @staticmethod
+    def unescaped(word: str) -> str:
+        return html.unescape(re.sub(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})", lambda m: chr(int(m[1] or m[2], 16)), word))
+
     def _next(self, word: str) -> Iterator[tuple[str, str]]:
         to_byte, ways = _tables()
         if "&" in word or "\\" in word:
             if _ESCAPED.search(word):
-                yield "unescape", html.unescape(re.sub(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})", lambda m: chr(int(m[1] or m[2], 16)), word))
+                yield "unescape", self.unescaped(word)
         if word.isascii() and "\0" not in word:
             return
         if "\0" in word or any(ord(c) > 0x7FF for c in word):
@@ -167,25 +177,32 @@ class Repairer:
                     at = m.end()
                 if out:
                     yield f"{e}>utf-8", "".join(out) + word[at:]
-        for name, table in ways:
-            other = word.translate(table)
-            if other != word:
-                yield name, other
+        upper = {c for c in map(ord, word) if c > 127}
+        for name, table, has in ways:
+            if upper <= has:  # all that was read with an encoding is in it
+                other = word.translate(table)
+                if other != word:
+                    yield name, other
+
     def search(self, word: str) -> tuple[str, float, str]:
-        """The cheapest form within reach, its cost and the way to it."""
+        """The cheapest form within reach, its cost and the way to it.
+
+        The forms within reach are finite, as decoding and unescaping shorten a word and tables are exchanged once. Ways
+        are followed as long as what they cost by themselves leaves room for a form that would be taken.
+        """
         start = self.cost(word)
+        room = min(start - GAIN, SHARE * start)
         best = (start, 0.0, word, "")
-        heap, seen, n = [(start, *best)], {word}, 0
-        while heap and n < MOST_FORMS:
+        heap, seen = [(start, *best)], {word}
+        while heap:
             _, price, spent, form, way = heapq.heappop(heap)
-            if way.count(" ") + 1 >= MOST_STEPS and way:
-                continue
             for name, other in self._next(form):
                 if other in seen or name in _TABLES and any(w in _TABLES for w in way.split(" ")):
                     continue  # two exchanges of tables would turn sound words into other words
-                seen.add(other)
-                n += 1
                 paid = spent + _PRICE.get(name, 0.9)
+                if paid > room or paid >= best[0]:
+                    continue
+                seen.add(other)
                 c = self.cost(other) + paid
                 found = (c, paid, other, f"{way} {name}".strip())
                 if c < best[0]:
@@ -209,11 +226,15 @@ class Repairer:
     def _judge(self, word: str) -> tuple[str, bool, str]:
         own = self.cost(word)
         if own < SUSPECT:
-            return word, False, ""
+            whole = self.unescaped(word) if _ESCAPED.search(word) else word
+            if whole == word:
+                return word, False, ""
+            best, bad, way = self._judge(whole)  # a character reference is sound, one to garbled characters isn't
+            return (best, True, f"unescape {way}".strip()) if bad else (word, False, "")
         if word.replace("\ufffd", "").isascii():
             return word, True, ""  # nothing is left to restore it from
         best, price, way = self.search(word)
-        if way and own - price >= GAIN and price <= 0.55 * own and price <= 0.5 * len(best) + 2:
+        if way and own - price >= GAIN and price <= SHARE * own and price <= 0.5 * len(best) + 2:
             return best, True, way
         bad = any(c in "�\0" or "\x80" <= c <= "\x9f" for c in word)
         return word, bad, ""
@@ -245,21 +266,73 @@ class Repairer:
         if not garbled:
             return text, False, ""
         if ways:
-            usual = max(set(ways), key=lambda w: (ways.count(w), w))
-            if len(ways) >= len(left):  # short words that tell nothing alone follow the others of their text
-                for i in left:
-                    other = self.apply(usual, parts[i])
-                    if self.cost(other) <= self.cost(parts[i]) + 0.1 and not (parts[i].islower() and other.isupper()):
-                        parts[i] = other
-            for i, raw, way in found:  # and so do words for which a rarer way seemed as good
-                if way != usual and ways.count(usual) > 1:
+            usual = self._usual(ways, [raw for _, raw, _ in found], [parts[i] for i in left])
+            most = sum(len(raw) for _, raw, _ in found) >= sum(len(parts[i]) for i in left)
+            # Words that tell nothing alone follow the others of their text; all of them do where it may be garbled throughout.
+            others = {i: self.apply(usual, parts[i]) for i in left}
+            whole = most and all(self.cost(x) <= self.cost(parts[i]) + 0.1 for i, x in others.items())
+            for i, other in others.items():
+                if other != parts[i] and (whole or self._follows(parts[i], other, most)):
+                    parts[i] = other
+            for i, raw, way in found:  # and so do words for which another way seemed as good
+                if way != usual:
                     other = self.apply(usual, raw)
-                    if self.cost(other) <= min(self.cost(parts[i]) + 2.5, 0.6 * self.cost(raw)):
+                    slack = 2.5 if ways.count(usual) > 1 else 0.3
+                    if self.cost(other) <= min(self.cost(parts[i]) + slack, 0.6 * self.cost(raw)):
                         parts[i] = other
         return "".join(parts), True, ", ".join(sorted(set(ways)))
 
+    def _usual(self, ways: list[str], garbled: list[str], left: list[str]) -> str:
+        """The way of the text: of those that its words were restored by, and others to the same encoding that all its
+        characters are in, the one that leaves the text the cheapest."""
+        to_byte, tables = _tables()[0], self.tables.keys()
+        upper = {c for x in [*garbled, *left] for c in map(ord, x) if c > 127}
+        whole = [e for e in SINGLE if upper <= to_byte[e].keys()]
+        each = sorted({*ways, *(f"{e}>{w.split('>')[1]}" for w in ways if w in tables for e in whole)} & {*ways, *tables})
+        if len(each) == 1:
+            return each[0]
+        # A table that is the same for these characters bears another name only: ties go to the way of most words.
+        price = lambda w: sum(self._known(self.apply(w, x)) for x in garbled) + sum(min(self._known(self.apply(w, x)), self._known(x)) for x in left)
+        return min(each, key=lambda w: (round(price(w), 6), -ways.count(w), w))
+
+    def _known(self, word: str) -> float:
+        """The cost of a word, remembered."""
+        found = self.costs.get(word)
+        if found is None:
+            if len(self.costs) >= MEMO:
+                self.costs.clear()
+            found = self.costs[word] = self.cost(word)
+        return found
+
+    def _follows(self, raw: str, other: str, most: bool) -> bool:
+        """Whether a word that seems sound is taken for garbled like the rest of its text: where most of the text is garbled
+        and the other form costs no more, where it is dear and the other form cheap, or where its letter pairs are rarer than
+        those of the other form."""
+        a, b = self.cost(raw), self.cost(other)
+        if most and b <= a + 0.1 and not (raw.islower() and other.isupper()) or a >= SUSPECT and b <= SHARE * a:
+            return True
+        rare, usual = self._rarity(raw), self._rarity(other)
+        return rare is not None and usual is not None and usual + 2.0 < rare and b <= a + 0.1
+
+    def _rarity(self, word: str) -> float | None:
+        """Mean bits of the Cyrillic letter pairs of a word; null where it has none."""
+        low = word.lower()
+        found = [self.bits[p] for p in zip(low, low[1:]) if p in self.bits]
+        return sum(found) / len(found) if found else None
+
     def apply(self, way: str, word: str) -> str:
         """The form that a known way leads to; the word itself where the way is closed."""
+        found = self.applied.get((way, word))
+        if found is None:
+            if len(self.applied) >= MEMO:
+                self.applied.clear()
+            found = self.applied[way, word] = self._apply(way, word)
+        return found
+
+    def _apply(self, way: str, word: str) -> str:
+        if way in self.tables:
+            table, has = self.tables[way]
+            return word.translate(table) if all(c < 128 or c in has for c in map(ord, word)) else word
         form = word
         for step in way.split(" "):
             form = next((other for name, other in self._next(form) if name == step), None)

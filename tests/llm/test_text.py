@@ -33,10 +33,42 @@ def test_exact_round_trip(text, wrong):
     assert found and way and got == "{\\an8}" + text
 
 
-def test_twice_garbled_and_lost():
+@pytest.mark.parametrize("times", [2, 3, 5])
+@pytest.mark.parametrize("text", [FRENCH, RUSSIAN])
+def test_garbled_several_times(text, times):
+    garbled = text
+    for _ in range(times):
+        garbled = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in garbled.encode())
+    assert Repairer(pairs((RUSSIAN + " ") * 400)).text(garbled)[:2] == (text, True)
+
+
+def test_escaped_characters():
+    """Character references are sound, unless they spell garbled characters."""
+    r = Repairer()
+    for raw, want in (("petit d&Atilde;&copy;jeuner", "petit déjeuner"), (r"caf\u00c3\u00a9 noir", "café noir"), ("&Ntilde;&#131;&#209;&#130;&#209;&#128;&#208;&#190;", "утро")):
+        assert r.text(raw)[:2] == (want, True)
+    for sound in ("caf&eacute; noir", r"caf\u00e9", "Tom &amp; Ann", "a &lt; b"):
+        assert r.text(sound) == (sound, False, "")
+
+
+WAYS = [("utf-8", "cp1252"), ("utf-8", "latin-1"), ("utf-8", "cp1251"), ("utf-8", "cp866"), ("cp1251", "latin-1"), ("cp1251", "koi8-r"), ("cp1251", "cp866"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("koi8-r", "cp866")]
+
+
+@pytest.mark.parametrize("right, wrong", WAYS)
+def test_share_of_exact_restorations(right, wrong):
+    """Short and long sentences, small words included."""
+    r = random.Random(8)
+    corpus = "старик вчера открыл окно перед дождём и принёс корзину на рынок а мы больше не видели тот корабль ты думаешь что сад был пуст когда она пришла домой с книгой но никто не знал где ключ от старой лодки возле моста".split()
+    other = "ты знал что мост был у реки а книга и ключ дома где она открыла дверь".split()
+    repairer = Repairer(pairs(" ".join(r.choice(corpus + other) for _ in range(30_000))))
+    texts = [" ".join(r.choice(other) for _ in range(r.randint(6, 12))).capitalize() + "." for _ in range(200)]
+    garbled = ["".join(bytes([b]).decode(wrong, "ignore") or chr(b) for b in t.encode(right)) for t in texts]
+    assert sum(repairer.text(g)[0] == t for g, t in zip(garbled, texts, strict=True)) >= 0.98 * len(texts)
+
+
+def test_lost_characters():
     r = Repairer()
-    twice = FRENCH.encode().decode("cp1252").encode().decode("cp1252", "replace")
-    assert r.text(twice)[1] and r.text("caf� noir")[1:] == (True, "") and r.text("a\x99b")[1]
+    assert r.text("caf� noir")[1:] == (True, "") and r.text("a\x99b")[1]
 
 
 @pytest.mark.parametrize("text", ["", "plain", ENGLISH, RUSSIAN, FRENCH, "РУССКИЙ ЧАЙ — так было", "ÂNCORA E MAÇÃ, SÃO DUAS", "Åsnäs, Łódka, Čmelák: three", "Ðagur and Þóra took the 4½ o'clock ferry.", "It's −12 °C — no!", "«À bientôt», disait l'île.", "♪ ♪", "¿Qué pasa?", "Да."])
