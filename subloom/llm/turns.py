@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subloom.operators.skew import hot_keys, salted_join
 from subloom.session import stored
 
 #: Styles of signs, songs, titles, captions and credits (fixed values).
@@ -25,8 +26,8 @@ _STAMP = r"(?<![\d:])\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?(?![\d:])"
 _MUSIC = "[♪♫♬♩]"
 #: A part begins on a new line, after " >> ", or after a dash or stroke before something like a label.
 _PARTS = r"\r?\n|\s+>>\s*|\s+[-–—/|]\s+(?=[\p{L}][^:\n.!?]{0,40}(?:\.[^:\n.!?]{0,30})?:\s)|\s+[-–—/|]\s+(?=[\(\[]\p{Lu}[^\)\]\n]{1,40}[\)\]]\s)"
-_LABEL = r"^([\p{L}][^:\n!?]{0,45}?)\s*:(?:\s|$)"
-_BRACKET = r"^[\(\[]([^\)\]\n]{1,45})[\)\]]\s*:?"
+_LABEL = r"^([\p{L}][^:\n!?]*?)\s*:(?:\s|$)"
+_BRACKET = r"^[\(\[]([^\)\]\n]+)[\)\]]\s*:?"
 STRETCH_S = 600
 
 
@@ -59,13 +60,17 @@ def _drops(key: Column) -> Column:
 
 
 def resolve(labels: DataFrame, cast: DataFrame) -> DataFrame:
-    """movie_id, key, cast_id for the labels (movie_id, key) that stand for one cast member, misspelt ones included."""
+    """movie_id, key, cast_id for the labels (movie_id, key; each once) that stand for one cast member, misspelt ones included.
+
+    Forms of fewer than five letters have to be met exactly: another letter makes another name of them. Labels that are
+    more than two letters longer than every name can't be misspelt ones.
+    """
     aliases = stored(_aliases(cast))
-    labels = stored(labels.dropna().distinct())
     exact = labels.join(aliases, ["movie_id", "key"])
-    rest = labels.join(aliases, ["movie_id", "key"], "left_anti").filter(F.length("key").between(5, 60))
+    longest = aliases.agg(F.max(F.length("key"))).first()[0] or 0
+    rest = labels.join(aliases, ["movie_id", "key"], "left_anti").filter(F.length("key").between(5, longest + 2))
     left = rest.select("movie_id", "key", F.explode(F.array_distinct(_drops(F.col("key")))).alias("k"))
-    right = aliases.filter(F.length("key").between(5, 60)).select("movie_id", F.col("key").alias("alias"), "cast_id", F.explode(F.array_distinct(_drops(F.col("key")))).alias("k"))
+    right = aliases.filter(F.length("key") >= 5).select("movie_id", F.col("key").alias("alias"), "cast_id", F.explode(F.array_distinct(_drops(F.col("key")))).alias("k"))
     d = F.levenshtein("key", "alias", 2)
     near = left.join(right, ["movie_id", "k"]).withColumn("d", d).filter("d BETWEEN 0 AND 2")
     levels = near.groupBy("movie_id", "key", "d").agg(F.min("cast_id").alias("low"), F.max("cast_id").alias("top"))
@@ -105,11 +110,16 @@ def speech_parts(lines: DataFrame, cast: DataFrame) -> DataFrame:
     parts = parts.withColumn("in_bracket", F.regexp_extract("raw", _BRACKET, 1)).withColumn("after", F.regexp_replace("raw", r"^(?:(?:" + _NOTE + r")\s*)+", ""))
     parts = parts.withColumn("label", F.regexp_extract("after", _LABEL, 1))
     parts = parts.withColumns({"k_bracket": name_key(F.nullif(F.col("in_bracket"), F.lit(""))), "k_label": name_key(F.nullif(F.col("label"), F.lit(""))), "k_column": F.when(F.col("part") == 0, name_key(F.col("speaker")))})
-    parts = stored(parts)
-    keys = parts.select("movie_id", F.explode(F.array("k_bracket", "k_label", "k_column")).alias("key"))
-    known = stored(resolve(keys, cast))
-    for k in ("bracket", "label", "column"):
-        parts = parts.join(known.select("movie_id", F.col("key").alias(f"k_{k}"), F.col("cast_id").alias(f"c_{k}")), ["movie_id", f"k_{k}"], "left")
+    parts = stored(parts.withColumn("pid", F.monotonically_increasing_id()))
+    # Names are looked up apart from the texts: most parts have none, and a name may stand in a third of all lines.
+    kinds = ["k_bracket", "k_label", "k_column"]
+    names = parts.select("pid", "movie_id", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(k).alias("key")) for i, k in enumerate(kinds)])).alias("n"))
+    names = names.select("pid", "movie_id", "n.i", "n.key").filter("key IS NOT NULL")
+    labels = stored(names.groupBy("movie_id", "key").agg(F.count(F.lit(1)).alias("n")))
+    known = stored(resolve(labels.select("movie_id", "key"), cast))
+    told = salted_join(names, known, ["movie_id", "key"], hot_keys(labels, ["movie_id", "key"], "n", parts.count()), "pid")
+    told = told.groupBy("pid").agg(*[F.max(F.when(F.col("i") == i, F.col("cast_id"))).alias("c" + k[1:]) for i, k in enumerate(kinds)])
+    parts = parts.join(told, "pid", "left")
     body = F.when(F.col("c_bracket").isNotNull(), F.regexp_replace("raw", _BRACKET, "")).when(F.col("c_label").isNotNull(), F.regexp_replace("after", _LABEL, "")).otherwise(F.col("raw"))
     parts = parts.withColumn("speech", clean_speech(body)).filter(has_words(F.col("speech")))
     return parts.select("movie_id", "start", "event_index", "part", "speech", F.coalesce("c_bracket", "c_label", "c_column").alias("cast_id"))
