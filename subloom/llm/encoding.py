@@ -36,7 +36,7 @@ _CYR_SET, _ACC_SET = set(CYRILLIC + CYRILLIC.upper()), set(ACCENTED + ACCENTED.u
 _IN_WORD, _EDGE = set("’‘-–—…'´`"), set("’‘“”„‚«»‹›…—–♪♫¿¡°€№−×·•†™®©")
 _QUOTES = set("“”‘’„‚…—–«»‹›¿¡")
 _SIZE = len(CYRILLIC)
-SUSPECT, GAIN, SHARE = 1.9, 1.5, 0.55
+SUSPECT, GAIN, SHARE = 1.55, 1.1, 0.55
 MEMO = 500_000
 #: What a step costs: least between the encodings that are mistaken for one another most.
 _USUAL, _SEEN = ("cp1252", "cp1251", "utf-8"), ("latin-1", "koi8-r", "cp866", "mac-roman", "utf-16-le", "utf-16-be")
@@ -228,7 +228,7 @@ class Repairer:
         if own < SUSPECT:
             whole = self.unescaped(word) if _ESCAPED.search(word) else word
             if whole == word:
-                return word, False, ""
+                return self._spelt(word, own)
             best, bad, way = self._judge(whole)  # a character reference is sound, one to garbled characters isn't
             return (best, True, f"unescape {way}".strip()) if bad else (word, False, "")
         if word.replace("\ufffd", "").isascii():
@@ -239,6 +239,18 @@ class Repairer:
         bad = any(c in "�\0" or "\x80" <= c <= "\x9f" for c in word)
         return word, bad, ""
 
+    def _spelt(self, word: str, own: float) -> tuple[str, bool, str]:
+        """For a word that seems sound: whether all its characters beyond ASCII are bytes of UTF-8, three or more to one
+        character, which no sound word is by chance, and spell something cheaper."""
+        upper = sum(c > "\x7f" for c in word)
+        if upper >= 3:
+            for name, other in self._next(word):
+                left = sum(c > "\x7f" for c in other)
+                if name.endswith(">utf-8") and upper >= 3 * left > 0 and self.cost(other) < own:
+                    best, _, way = self._judge(other)
+                    return best, True, f"{name} {way}".strip()
+        return word, False, ""
+
     def text(self, text: str) -> tuple[str, bool, str]:
         """The text as it was, whether any of it is garbled, and the ways back."""
         if text.isascii() and "\0" not in text and not _ESCAPED.search(text):
