@@ -3,9 +3,11 @@
 A word w occurs in a document of level t with a probability in proportion to exp(a_w - (t - b_w)^2 / 2): a word is met
 most where the level is its difficulty b_w. Given difficulties, a document's level follows from the mean difficulty of
 its words; given levels, a word's parameters follow from its count, the sum of the levels at which it occurs, and the
-distribution of all words over levels. The two steps alternate: levels and sums are worked out over all documents in
-parallel, the parameters (BUCKETS of them, words meet them by hash, so the size is fixed) from the sums. Rated
-documents give the first difficulties and, at the end, the cuts between the bands.
+distribution of all words over levels. The two steps alternate, both in parallel: levels and sums over all documents, then
+Newton steps over all words, which depend on one another only through the sum of their probabilities at each of the 81
+levels of GRID; these sums are all that is exchanged between the steps. Words meet their parameters by hash, in BUCKETS
+places, so what the documents need of them has a fixed size. Rated documents give the first difficulties and, at the end,
+the cuts between the bands.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 from subloom.llm.wordstream import hash64
 from subloom.session import stored
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 20
 GRID = np.linspace(-4, 4, 81)
 ROUNDS, RIDGE, RATED = 5, 2.0, 20_000
+#: Exchanges of the words' sums in the first round and in later ones, Newton steps between two, words of a partition.
+FIRST, LATER, NEWTON, PART = 5, 2, 2, 1 << 17
 MEMO = 1_000_000
 _NO_LETTERS = re.compile(r"[^\w]|[\d_]")
 
@@ -66,8 +70,8 @@ def levels_of(lists: pd.Series, difficulty: np.ndarray, expected: np.ndarray) ->
     return np.where(n > 0, np.interp(mean, expected, GRID), 0.0)
 
 
-def _sums(lists: DataFrame, level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Over all documents: count and sum of levels of each bucket, and words at each point of GRID.
+def _sums(lists: DataFrame, level) -> tuple[DataFrame, np.ndarray]:
+    """Over all documents: k, n, s (count and sum of levels of each bucket), and the words at each point of GRID.
 
     level gives the levels of a batch; a NaN leaves a document out.
     """
@@ -86,37 +90,69 @@ def _sums(lists: DataFrame, level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         yield pd.DataFrame({"k": some, "n": count[some], "s": total[some]})
         yield pd.DataFrame({"k": BUCKETS + np.arange(len(GRID)), "n": at, "s": 0.0})
 
-    count, total, at = np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(len(GRID))
-    found = lists.select("id", "words").mapInPandas(run, "k int, n double, s double").groupBy("k").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    for r in found.collect():  # one row a bucket at most
-        if r["k"] < BUCKETS:
-            count[r["k"]], total[r["k"]] = r["n"], r["s"]
-        else:
-            at[r["k"] - BUCKETS] = r["n"]
-    return count, total, at
-
-
-def _fit_words(count: np.ndarray, total: np.ndarray, at: np.ndarray, difficulty: np.ndarray, steps: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Difficulties, and the expected difficulty at each point of GRID, from the sums."""
-    some = np.flatnonzero(count)
-    n, s, b = count[some], total[some], difficulty[some].copy()
-    a = np.log(n / n.sum())
-    log_z = np.zeros(len(GRID))
-    for _ in range(steps):
-        w = np.exp(np.clip(a[:, None] + b[:, None] * GRID[None, :] - log_z[None, :], -60, 30))
-        log_z += np.log(np.maximum(w.sum(0), 1e-300))  # the probabilities of all words add up to one at each level
-        w /= np.maximum(w.sum(0), 1e-300)
-        e = w * at[None, :]
+    found = stored(lists.select("id", "words").mapInPandas(run, "k int, n double, s double").groupBy("k").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+    at = np.zeros(len(GRID))
+    for r in found.filter(F.col("k") >= BUCKETS).collect():
+        at[r["k"] - BUCKETS] = r["n"]
+    return found.filter(F.col("k") < BUCKETS), at
+
+
+def word_steps(words: pd.DataFrame, at: np.ndarray, log_z: np.ndarray, newton: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """Words (n, s, a, b) with better a and b, their share of the probability at each level and of the difficulty there."""
+    n, s, a, b = (words[c].to_numpy(float) for c in "nsab")
+    prob = lambda: np.exp(np.clip(a[:, None] + b[:, None] * GRID[None, :] - log_z[None, :], -60, 30))
+    for _ in range(newton):
+        e = prob() * at[None, :]
         e0, e1, e2 = e.sum(1), e @ GRID, e @ GRID**2
-        a += np.clip(np.log(n / np.maximum(e0, 1e-9)), -1, 1)
+        a = a + np.clip(np.log(n / np.maximum(e0, 1e-9)), -1, 1)
         mean = e1 / np.maximum(e0, 1e-9)
         var = np.maximum(e2 / np.maximum(e0, 1e-9) - mean**2, 1e-3)
-        b += np.clip((n * (s / n - mean) - RIDGE * b) / (n * var + RIDGE), -0.5, 0.5)
-    w = np.exp(np.clip(a[:, None] + b[:, None] * GRID[None, :] - log_z[None, :], -60, 30))
-    expected = np.maximum.accumulate((w * b[:, None]).sum(0) / np.maximum(w.sum(0), 1e-300)) + np.arange(len(GRID)) * 1e-9
-    out = np.zeros(BUCKETS)
-    out[some] = b
-    return out, expected
+        b = b + np.clip((n * (s / n - mean) - RIDGE * b) / (n * var + RIDGE), -0.5, 0.5)
+    w = prob()
+    return words.assign(a=a, b=b), w.sum(0), (w * b[:, None]).sum(0)
+
+
+class Model:
+    """Parameters of all words, a table in Spark (k, n, a, b), and what the levels need of them."""
+
+    def __init__(self) -> None:
+        self.words: DataFrame | None = None
+        self.log_z = np.zeros(len(GRID))
+        self.difficulty = np.zeros(BUCKETS, np.float32)
+        self.expected = np.arange(len(GRID)) * 1e-9
+
+    def fit(self, sums: DataFrame, at: np.ndarray, centre: float = 0.0, scale: float = 1.0) -> None:
+        """Steps towards sums whose levels are taken from `centre` in units of `scale`; `at` is in those already."""
+        told = sums.select("k", "n", ((F.col("s") - centre * F.col("n")) / scale).alias("s"))
+        if self.words is None:
+            now = told.select("k", "n", "s", F.log(F.col("n") / max(float(at.sum()), 1.0)).alias("a"), F.lit(0.0).alias("b"))
+        else:
+            # Rated documents alone lack most words, which then begin at their count and at middle difficulty.
+            now = told.join(self.words.select("k", "a", "b"), "k", "left").fillna(0.0, ["b"])
+            now = now.withColumn("a", F.coalesce("a", F.log(F.col("n") / max(float(at.sum()), 1.0))))
+        parts = 1 + sums.count() // PART
+        for step in range(FIRST if self.words is None else LATER):
+            log_z, newton = self.log_z, NEWTON
+
+            def run(batches: Iterator[pd.DataFrame], log_z=log_z, newton=newton) -> Iterator[pd.DataFrame]:
+                z, zb = np.zeros(len(GRID)), np.zeros(len(GRID))
+                for b in batches:
+                    out, x, y = word_steps(b, at, log_z, newton)
+                    z, zb = z + x, zb + y
+                    yield out.assign(z=None)
+                yield pd.DataFrame({"k": [-1], "n": [0.0], "s": [0.0], "a": [0.0], "b": [0.0], "z": [np.concatenate([z, zb])]})
+
+            rows = now.repartition(parts, "k") if step == 0 else now.coalesce(parts)
+            done = stored(rows.mapInPandas(run, "k int, n double, s double, a double, b double, z array<double>"))
+            z = sum((np.array(r["z"]) for r in done.filter("k < 0").select("z").collect()), np.zeros(2 * len(GRID)))  # one row a partition
+            z, zb = np.maximum(z[: len(GRID)], 1e-300), z[len(GRID) :]
+            self.log_z = self.log_z + np.log(z)  # the probabilities of all words add up to one at each level
+            self.expected = np.maximum.accumulate(zb / z) + np.arange(len(GRID)) * 1e-9
+            now = done.filter("k >= 0").drop("z")
+        self.words = now
+        found = now.select("k", "b").toPandas()  # one number a bucket at most
+        self.difficulty = np.zeros(BUCKETS, np.float32)
+        self.difficulty[found["k"].to_numpy()] = found["b"].to_numpy()
 
 
 def cuts_between(level: np.ndarray, band: np.ndarray) -> list[float]:
@@ -155,31 +191,33 @@ def reading_levels(docs: DataFrame, id_col: str, text_col: str, rated: DataFrame
     def first(b: pd.DataFrame) -> np.ndarray:
         return b["id"].map(given).to_numpy(float) if given else np.log1p(b["words"].map(len).to_numpy(float)) - 5
 
-    difficulty, expected = _fit_words(*_sums(lists, first), np.zeros(BUCKETS))
+    spark = lists.sparkSession
+    model = Model()
+    model.fit(*_sums(lists, first))
     for _ in range(ROUNDS):
-        level = lambda b, d=difficulty, e=expected: levels_of(b["words"], d, e)
-        count, total, at = _sums(lists, level)
+        known = spark.sparkContext.broadcast((model.difficulty, model.expected))
+        sums, at = _sums(lists, lambda b, known=known: levels_of(b["words"], *known.value))
         n = at.sum()
         if not n:
             break
-        centre = (at @ GRID) / n
-        scale = max(np.sqrt((at @ (GRID - centre) ** 2) / n), 0.05)
+        centre = float((at @ GRID) / n)
+        scale = float(max(np.sqrt((at @ (GRID - centre) ** 2) / n), 0.05))
         # Levels are given in units of their own spread, so that the two steps can't drift.
-        total = (total - centre * count) / scale
         moved = np.clip(np.rint(((GRID - centre) / scale + 4) * 10), 0, len(GRID) - 1).astype(int)
-        difficulty, expected = _fit_words(count, total, np.bincount(moved, at, minlength=len(GRID)), difficulty)
+        model.fit(sums, np.bincount(moved, at, minlength=len(GRID)), centre, scale)
+    known = spark.sparkContext.broadcast((model.difficulty, model.expected))
 
     def rate(cuts: list[float] | None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                t = levels_of(b["words"], difficulty, expected)
+                t = levels_of(b["words"], *known.value)
                 k = np.searchsorted(cuts, t, side="left") + 1 if cuts is not None else np.zeros(len(b), int)
                 yield pd.DataFrame({id_col: b["id"], "n_words": b["n_words"], "level": t, "reading_band": k})
 
         return run
 
     schema = f"`{id_col}` long, n_words int, level double, reading_band int"
-    chosen = lists.filter(F.col("id").isin(list(band))) if len(band) < 200 else lists.join(lists.sparkSession.createDataFrame([(k,) for k in band], "id long"), "id", "left_semi")
+    chosen = lists.filter(F.col("id").isin(list(band))) if len(band) < 200 else lists.join(spark.createDataFrame([(k,) for k in band], "id long"), "id", "left_semi")
     seen = [(r[0], band[r[1]]) for r in chosen.mapInPandas(rate(None), schema).select("level", id_col).distinct().collect()] if band else []
     cuts = cuts_between(np.array([x[0] for x in seen]), np.array([x[1] for x in seen])) if seen else [-1.0, 0.0, 1.0]
     out = lists if every is None else word_lists(every, id_col, text_col, 0)
