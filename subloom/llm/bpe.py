@@ -26,7 +26,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _CROWDED = re.compile(r" \s|\s ").search
 
 DEFAULT_DIR = "/opt/tokenizers"
-CACHED_PIECES = 400_000
+CACHED_PIECES, CACHED_PAIRS = 400_000, 4_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -76,6 +76,8 @@ class Encoder:
     def compatible(self, a: int, b: int) -> bool:
         found = self.fits.get((a, b))
         if found is None:
+            if len(self.fits) >= CACHED_PAIRS:
+                self.fits.clear()
             x, y = self.bytes_of[a], self.bytes_of[b]
             found = self.fits[a, b] = self.merged(x + y) == [x, y]
         return found

