@@ -121,7 +121,8 @@ def speech_parts(lines: DataFrame, cast: DataFrame) -> DataFrame:
     told = told.groupBy("pid").agg(*[F.max(F.when(F.col("i") == i, F.col("cast_id"))).alias("c" + k[1:]) for i, k in enumerate(kinds)])
     parts = parts.join(told, "pid", "left")
     body = F.when(F.col("c_bracket").isNotNull(), F.regexp_replace("raw", _BRACKET, "")).when(F.col("c_label").isNotNull(), F.regexp_replace("after", _LABEL, "")).otherwise(F.col("raw"))
-    parts = parts.withColumn("speech", clean_speech(body)).filter(has_words(F.col("speech")))
+    # Through an array of one, so that the filter doesn't have the words cleaned a second time.
+    parts = parts.withColumn("speech", F.explode(F.array(clean_speech(body)))).filter(has_words(F.col("speech")))
     return parts.select("movie_id", "start", "event_index", "part", "speech", F.coalesce("c_bracket", "c_label", "c_column").alias("cast_id"))
 
 

@@ -9,6 +9,7 @@ from subloom.llm import leaks
 from subloom.llm.groups import components, grouped_splits, related, related_pairs, rendezvous_splits, show_key
 from subloom.llm.leaks import cross_split_pairs
 from subloom.llm.wordstream import Sequences, WordHashes, edit_distance
+from subloom.operators import skew
 
 
 def plain_distance(a, b):
@@ -173,16 +174,24 @@ def test_show_keys(spark):
     assert got == ["vutesonebottle"] * 5 + ["vutesonebottleclock", "live", None, None, None]
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     links = [("a", "b"), ("b", "c"), ("x", "y"), ("d", "c"), *[(f"n{i:02d}", f"n{i + 1:02d}") for i in range(20)]]
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "SHARE", 20)
     got = {x["node"]: x["component"] for x in components(spark.createDataFrame(links, "a string, b string")).collect()}
     assert got == {**dict.fromkeys("abcd", "a"), **dict.fromkeys("xy", "x"), **{f"n{i:02d}": "n00" for i in range(21)}}
     assert components(spark.createDataFrame(links, "a string, b string").limit(0)).count() == 0
 
 
-def test_related_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [False, True])
+def test_related_against_brute_force(spark, monkeypatch, hot):
+    """Texts of many movies and movies of many texts, salted or not; movies of one and two texts make stars."""
+    if hot:
+        monkeypatch.setattr(skew, "HOT_ROWS", 1)
+        monkeypatch.setattr(skew, "SHARE", 40)
     r = random.Random(3)
     texts = {f"show{i}_s01e01": {f"line {r.randrange(60)}" for _ in range(r.randint(2, 12))} | {"Stock!"} for i in range(30)}
+    texts |= {f"tiny{i}_s01e01": {f"line {r.randrange(900)}", f"rare {i % 3}"} for i in range(6)} | {"lone_s01e01": {"rare 1"}}
     rows = [(m, t.upper() if r.random() < 0.5 else t) for m, ts in texts.items() for t in ts] + [("show1_s01e02", "alone"), (None, "line 1"), ("show2_s01e01", None), ("show2_s01e01", "...")]
     texts["show1_s01e02"] = {"alone"}
     keys = {m: {"".join(c for c in t.lower() if c.isalnum()) for t in ts} for m, ts in texts.items()}

@@ -8,6 +8,7 @@ from subloom.llm import language as L
 from subloom.llm.encoding import CYRILLIC, Repairer, letter_pairs, repaired
 from subloom.llm.reading import cuts_between, reading_levels
 from subloom.llm.turns import turn_starts, turns
+from subloom.operators import skew
 
 RUSSIAN = "Старый рыбак вчера принёс картину возле станции пока почтальон забыл маленькую лодку вместе с другими"
 FRENCH = "L'équipage a oublié la clé du grenier près de la gare où mon grand-père cherchait encore les fenêtres"
@@ -176,7 +177,12 @@ def lines_frame(spark, rows):
     return spark.createDataFrame([(i, "m", t, s, st, float(a), k, "x") for i, (a, k, s, t, st) in enumerate(rows)], "record_id long, movie_id string, text string, speaker string, style string, start double, event_index int, cast_id string")
 
 
-def test_turns(spark):
+@pytest.mark.parametrize("hot", [False, True])
+def test_turns(spark, monkeypatch, hot):
+    """Names that stand in a third of all lines, salted or not, give the same turns."""
+    if hot:
+        monkeypatch.setattr(skew, "HOT_ROWS", 1)
+        monkeypatch.setattr(skew, "SHARE", 8)
     rows = [
         (0, 0, None, "Who is it?", "Default"),
         (1, 1, "ANNA BERGHOLT (on phone)", "Um, hello there.", "Default"),
@@ -200,6 +206,15 @@ def test_turns(spark):
     assert turn_starts(d.limit(0), cast).count() == 0 and turns(d, cast.limit(0)).count() == 0
 
 
+def test_long_labels(spark):
+    """A name longer than any limit that one might set for labels; and the same misspelt."""
+    name = "Maximilian Alexander Ferdinand Bartholomew Montgomery of the Upper Valley"
+    cast = spark.createDataFrame([(1, "m", name, None), (2, "m", "Ann Lee", None)], "cast_id long, movie_id string, full_name string, role string")
+    rows = [(0, 0, None, f"{name}: Here.", "Default"), (1, 1, "Ann Lee", "There.", "Default"), (2, 2, name.replace("Upper", "Uper"), "Where?", "Default"), (3, 3, None, f"[{name.upper()}] Here.", "Default"), (4, 4, None, "Ann Lee: No.", "Default")]
+    got = sorted((x["event_index"], x["cast_id"]) for x in turn_starts(lines_frame(spark, rows), cast).collect())
+    assert got == [(0, 1), (1, 2), (2, 1), (4, 2)]
+
+
 def test_reading_levels_of_held_out_documents(spark):
     r = random.Random(2)
     pools = [[f"{k}w{i}" for i in range(40)] for k in range(4)]
