@@ -35,20 +35,20 @@ def format_columns(value: str | Column) -> Column:
     return F.transform(F.split(col(value), ","), strip)
 
 
-def with_sections(lines: DataFrame, file: str = "path") -> DataFrame:
+def with_sections(lines: DataFrame, file: str = "path", again: bool = False) -> DataFrame:
     """Adds section (as spelt, "" before the first header), section_no, header_no, index in its section and is_header."""
     s = strip("line")
     header = s.startswith("[") & s.endswith("]") & (F.length(s) > 2)
     name = strip(F.substring(s, F.lit(2), F.length(s) - 2))
     opened = F.when(header, F.struct(F.col("line_no").alias("n"), name.alias("name")))
-    out = running(lines.withColumn("is_header", header), file, "line_no", {"_at": opened}, {"section_no": header.cast("int")})
+    out = running(lines.withColumn("is_header", header), file, "line_no", {"_at": opened}, {"section_no": header.cast("int")}, again=again)
     out = out.withColumns({"section": F.coalesce("_at.name", F.lit("")), "header_no": F.coalesce("_at.n", F.lit(-1))})
     return out.withColumn("index", F.col("line_no") - F.col("header_no") - 1).drop("_at")
 
 
 def with_events(lines: DataFrame, file: str = "path") -> DataFrame:
     """Section lines with kind (null where the line is no event), value and the format in force, as an array."""
-    out = with_sections(lines, file) if "section" not in lines.columns else lines
+    out = with_sections(lines, file, again=True) if "section" not in lines.columns else lines
     s = strip("line")
     usable = (F.lower("section") == "events") & ~F.col("is_header") & (s != "") & ~s.startswith(";")
     out = out.withColumn("_kv", F.when(usable, key_value("line")))
