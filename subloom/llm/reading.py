@@ -27,7 +27,7 @@ BUCKETS = 1 << 20
 GRID = np.linspace(-4, 4, 81)
 ROUNDS, RIDGE, RATED = 5, 2.0, 20_000
 #: Exchanges of the words' sums in the first round and in later ones, Newton steps between two, words of a partition.
-FIRST, LATER, NEWTON, PART = 5, 2, 2, 1 << 17
+FIRST, LATER, NEWTON, PART = 3, 1, 3, 1 << 17
 MEMO = 1_000_000
 _NO_LETTERS = re.compile(r"[^\w]|[\d_]")
 
@@ -117,6 +117,7 @@ class Model:
 
     def __init__(self) -> None:
         self.words: DataFrame | None = None
+        self.parts = 0
         self.log_z = np.zeros(len(GRID))
         self.difficulty = np.zeros(BUCKETS, np.float32)
         self.expected = np.arange(len(GRID)) * 1e-9
@@ -130,7 +131,7 @@ class Model:
             # Rated documents alone lack most words, which then begin at their count and at middle difficulty.
             now = told.join(self.words.select("k", "a", "b"), "k", "left").fillna(0.0, ["b"])
             now = now.withColumn("a", F.coalesce("a", F.log(F.col("n") / max(float(at.sum()), 1.0))))
-        parts = 1 + sums.count() // PART
+        self.parts = self.parts or 1 + sums.count() // PART
         for step in range(FIRST if self.words is None else LATER):
             log_z, newton = self.log_z, NEWTON
 
@@ -142,7 +143,7 @@ class Model:
                     yield out.assign(z=None)
                 yield pd.DataFrame({"k": [-1], "n": [0.0], "s": [0.0], "a": [0.0], "b": [0.0], "z": [np.concatenate([z, zb])]})
 
-            rows = now.repartition(parts, "k") if step == 0 else now.coalesce(parts)
+            rows = now.repartition(self.parts, "k") if step == 0 else now.coalesce(self.parts)
             done = stored(rows.mapInPandas(run, "k int, n double, s double, a double, b double, z array<double>"))
             z = sum((np.array(r["z"]) for r in done.filter("k < 0").select("z").collect()), np.zeros(2 * len(GRID)))  # one row a partition
             z, zb = np.maximum(z[: len(GRID)], 1e-300), z[len(GRID) :]
@@ -150,9 +151,9 @@ class Model:
             self.expected = np.maximum.accumulate(zb / z) + np.arange(len(GRID)) * 1e-9
             now = done.filter("k >= 0").drop("z")
         self.words = now
-        found = now.select("k", "b").toPandas()  # one number a bucket at most
         self.difficulty = np.zeros(BUCKETS, np.float32)
-        self.difficulty[found["k"].to_numpy()] = found["b"].to_numpy()
+        for r in now.select("k", "b").collect():  # one number a bucket at most
+            self.difficulty[r["k"]] = r["b"]
 
 
 def cuts_between(level: np.ndarray, band: np.ndarray) -> list[float]:
